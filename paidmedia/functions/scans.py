@@ -1,7 +1,7 @@
 """Ordered computations that stay distributed when one group is huge.
 
 A plain window sends each group to one task.  The functions here first measure
-the largest group.  Up to ``group_limit`` rows they use the plain window (one
+the input, and its largest group if the input is large.  Up to ``group_limit`` rows they use the plain window (one
 shuffle).  Beyond it they range-partition by group *and* order, so that a hot
 group is spread over many slices, scan each slice on its own and add the
 totals of the earlier slices.  Both ways give the same rows.
@@ -19,9 +19,12 @@ from paidmedia.sources.store import materialise
 GROUP_LIMIT = 2_000_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+def groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether no group has more than ``limit`` rows; the count alone settles small inputs."""
+    if df.count() <= limit:
+        return True
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return sizes.agg(F.max("n")).first()[0] <= limit
 
 
 def same(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -45,7 +48,7 @@ def running_totals(
     ``order`` has to be a total order within each group.
     """
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if largest_group(df, keys) <= group_limit:
+    if groups_fit(df, keys, group_limit):
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
         return df.select("*", *[F.sum(src).over(w).alias(new) for new, src in running.items()])
 
@@ -91,7 +94,7 @@ def bucketed(
     slices: int | None = None,
 ) -> DataFrame:
     """NTILE: ``buckets`` equal-sized buckets per group, the first ones larger by one."""
-    if largest_group(df, keys) <= group_limit:
+    if groups_fit(df, keys, group_limit):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.ntile(buckets).over(w))
 
@@ -131,6 +134,8 @@ def quantiles(
         .groupBy(key, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    if df.count() > group_limit:
+        counts = materialise(counts, "counts")
     sizes = counts.groupBy(key).agg(F.sum("_n").alias("_size"))
     placed = running_totals(counts, [key], [value], {"_upto": "_n"}, group_limit, slices)
     joined = placed.alias("s").join(sizes.alias("o"), same("s", "o", [key])).select("s.*", "_size")

@@ -57,13 +57,14 @@ def choose(key: Column, values: dict, otherwise: Column | None = None) -> Column
     return out if otherwise is None else out.otherwise(otherwise)
 
 
-def order_touches(orders: DataFrame) -> DataFrame:
+def order_touches(orders: DataFrame, *extra: Column) -> DataFrame:
     """One row per order: key, customer, date and the channel it came through."""
     return orders.select(
         "o_orderkey",
         "o_custkey",
         F.col("o_orderdate").cast("date").alias("date"),
         choose(F.col("o_orderpriority"), CHANNEL_OF_PRIORITY).alias("channel"),
+        *extra,
     )
 
 
