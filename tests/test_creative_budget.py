@@ -1,0 +1,218 @@
+import datetime
+
+import pytest
+
+from paidmedia.operators import budget, cooccurrence, creative, segments
+from paidmedia.sources import dimensions
+
+
+def test_fatigue_curve_is_the_same_plain_and_sliced(spark):
+    from conftest import DATA
+
+    from paidmedia.sources.fact import fact_table
+
+    fact = fact_table(spark, f"{DATA}/sf0.01")
+    plain = creative.creative_fatigue_curve(fact, details=True).collect()
+    sliced = creative.creative_fatigue_curve(fact, details=True, group_limit=0, slices=6).collect()
+    assert plain == sliced
+    assert len(plain) == 16
+
+
+def test_fatigue_ties_are_ordered_by_the_grain(make_fact, rows):
+    fact = make_fact(
+        *[{"date": f"2022-01-{d:02d}", "spend_gbp": 50, "revenue_gbp": d} for d in range(1, 9)]
+    )
+    first = rows(creative.creative_fatigue_curve(fact, min_rows=1), "spend_quartile")
+    again = rows(creative.creative_fatigue_curve(fact.orderBy("revenue_gbp", ascending=False),
+                                                 min_rows=1), "spend_quartile")
+    assert first == again
+    assert first[1]["pooled_roas"] == 0.03  # the first two days
+    assert first[2]["prev_quartile_roas"] == 0.03
+    assert rows(creative.creative_fatigue_curve(fact, min_rows=2)) == []
+
+
+def test_rollup_labels_subtotals_but_not_nulls(make_fact, rows):
+    fact = make_fact({"spend_gbp": 2000}, {"creative_type": None, "spend_gbp": 3000})
+    got = rows(creative.creative_channel_rollup(fact), "creative_type", "channel")
+    assert set(got) == {
+        ("UGC_Review", "Meta"), ("UGC_Review", "ALL CHANNELS"),
+        (None, "Meta"), (None, "ALL CHANNELS"), ("ALL CREATIVES", "ALL CHANNELS"),
+    }
+    assert got[("ALL CREATIVES", "ALL CHANNELS")]["total_spend"] == 5000.0
+
+
+def test_rollup_total_is_the_sum_of_its_leaves(spark, rows):
+    from conftest import DATA
+
+    from paidmedia.sources.fact import fact_table
+
+    got = rows(
+        creative.creative_channel_rollup(fact_table(spark, f"{DATA}/sf0.01"), min_spend=0),
+        "creative_type", "channel",
+    )
+    leaves = sum(r["rows"] for k, r in got.items() if not any(x.startswith("ALL") for x in k))
+    assert got[("ALL CREATIVES", "ALL CHANNELS")]["rows"] == leaves
+
+
+def test_best_creative_takes_the_first_name_on_a_tie(make_fact, rows):
+    fact = make_fact({"creative_type": "UGC_Review"}, {"creative_type": "Influencer_Collab"})
+    got = rows(creative.best_creative(fact))[0]
+    assert got["creative_type"] == "Influencer_Collab"
+    assert got["label"] == "Influencer Collab"
+
+
+def test_quarter_end(make_fact, rows):
+    got = rows(creative.quarterly_creative_roas(make_fact({"date": "2023-11-02"})))[0]
+    assert got["date"] == datetime.date(2023, 12, 31)
+
+
+def test_matrix_has_a_column_per_channel(make_fact, rows):
+    fact = make_fact({"revenue_gbp": 200}, {"channel": "TikTok", "spend_gbp": 0})
+    assert rows(creative.roas_matrix(fact))[0]["Meta"] == 2.0
+    got = rows(creative.creative_matrix(fact))[0]
+    assert list(got) == ["creative_type", "Meta", "TikTok", "YouTube", "Google_Search"]
+    assert got["TikTok"] is None
+
+
+def test_cumulative_spend(make_fact, rows):
+    fact = make_fact(
+        {"date": "2022-01-01", "spend_gbp": 25, "revenue_gbp": 100},
+        {"date": "2022-01-02", "spend_gbp": 70, "revenue_gbp": 90},
+        {"date": "2022-01-02", "channel": "TikTok", "spend_gbp": 5, "revenue_gbp": 10},
+    )
+    got = rows(creative.cumulative_spend_fatigue(fact))
+    assert [r["cumulative_spend"] for r in got] == [25.0, 100.0]
+    assert [r["cumulative_roas"] for r in got] == [4.0, 2.0]
+    assert got[0]["cumulative_spend_pct"] == 25.0
+
+
+def test_segments_at_the_median_are_kept(make_fact, rows):
+    fact = make_fact(
+        {"campaign_type": "Prospecting", "revenue_gbp": 200},
+        {"campaign_type": "Retargeting", "revenue_gbp": 200},
+        {"campaign_type": "Brand_Awareness", "revenue_gbp": 100},
+    )
+    got = rows(segments.top_segments(fact), "campaign_type")
+    assert set(got) == {"Prospecting", "Retargeting"}
+    assert got["Prospecting"]["roas_rank_within_channel"] == 1
+    assert got["Prospecting"]["budget_recommendation"] == "Scale Up"
+    assert got["Prospecting"]["channel_avg_roas"] == 1.667
+
+
+def test_single_channel_has_no_efficiency_score(make_fact, rows):
+    got = rows(budget.budget_efficiency_index(make_fact({})))[0]
+    assert got["efficiency_score_0_100"] is None
+    assert got["recommended_gbp_of_100k"] is None
+    assert got["cm_per_gbp"] == 0.35
+    assert rows(budget.cm_efficiency(make_fact({})))[0]["Budget_Eff_Index"] is None
+
+
+def test_worst_channel_gets_nothing(make_fact, rows):
+    fact = make_fact(
+        {"channel": "Meta", "revenue_gbp": 300},
+        {"channel": "TikTok", "revenue_gbp": 200},
+        {"channel": "YouTube", "revenue_gbp": 100},
+    )
+    got = rows(budget.budget_efficiency_index(fact), "channel")
+    assert got["YouTube"]["recommended_gbp_of_100k"] == 0.0
+    assert got["TikTok"]["efficiency_score_0_100"] == 50.0
+    assert got["Meta"]["recommended_gbp_of_100k"] == 66667.0
+    assert got["Meta"]["projected_revenue_gbp"] == 200000.0
+    assert got["Meta"]["efficiency_percentile"] == 1.0
+
+
+def test_cube_keeps_null_apart_from_all(make_fact, rows):
+    fact = make_fact({}, {"campaign_type": None})
+    got = rows(budget.spend_cube(fact), "channel", "campaign_type")
+    assert set(got) == {
+        ("Meta", "Prospecting"), ("Meta", None), ("Meta", "ALL"),
+        ("ALL", "Prospecting"), ("ALL", None), ("ALL", "ALL"),
+    }
+    assert got[("ALL", "ALL")]["spend"] == 200.0
+
+
+def test_projection_uses_defaults_and_the_whole_budget(spark, rows):
+    scenarios = dimensions.scenarios(spark, [("Meta", "50"), ("Radio", "20")], 1000, "s")
+    roas = dimensions.inline(spark, "channel string; avg_roas double", [("Meta", "4.4")])
+    projected = budget.budget_projection(scenarios, roas)
+    got = rows(projected, "channel")
+    assert got["Meta"]["revenue"] == pytest.approx(2200)
+    assert got["Meta"]["orders"] == pytest.approx(40)
+    assert got["Meta"]["new_cust"] == pytest.approx(22)
+    assert got["Radio"]["revenue"] == pytest.approx(500)
+    assert got["Radio"]["new_cust"] == pytest.approx(500 / 55 * 0.5)
+    total = rows(budget.projection_totals(projected, scenarios))[0]
+    assert total["total_cm"] == pytest.approx(2700 * 0.45 - 1000)
+    assert total["total_cm"] != pytest.approx(sum(r["cm"] for r in got.values()))
+    check = rows(budget.allocation_check(scenarios))[0]
+    assert check["total_pct"] == 70.0 and not check["sums_to_100"]
+
+
+def test_baseline_of_the_weights_is_itself(spark, rows):
+    weights = [(c, float(w) * 100) for c, w in dimensions.CHANNEL_WEIGHTS]
+    scenarios = dimensions.scenarios(spark, weights, 100000, "weights")
+    roas = dimensions.inline(spark, "channel string; avg_roas double", [("Meta", "3")])
+    for r in rows(budget.scenario_vs_baseline(scenarios, roas)):
+        assert r["revenue_delta"] == pytest.approx(0, abs=1e-6)
+
+
+def test_pairs_equal_the_row_level_self_join(spark, rows):
+    from conftest import DATA
+    from pyspark.sql import functions as F
+
+    from paidmedia.functions.exprs import paid, with_spend
+    from paidmedia.sources.fact import fact_table
+
+    fact = fact_table(spark, f"{DATA}/sf0.001")
+    active = with_spend(paid(fact))
+    a, b = active.alias("a"), active.alias("b")
+    naive = (
+        a.join(b, (F.col("a.date") == F.col("b.date")) & (F.col("a.channel") < F.col("b.channel")))
+        .groupBy(F.concat_ws(" + ", "a.channel", "b.channel").alias("pair"))
+        .agg(F.count("*").alias("n"),
+             F.round(F.sum(F.col("a.spend_gbp") + F.col("b.spend_gbp")), 0).alias("s"),
+             F.round(F.sum(F.col("a.revenue_gbp") + F.col("b.revenue_gbp")), 0).alias("r"))
+    )
+    want = {r["pair"]: (r["n"], float(r["s"]), float(r["r"])) for r in naive.collect()}
+    got = {
+        r["channel_pair"]: (r["days_cooccurred"], r["combined_spend"], r["combined_revenue"])
+        for r in rows(cooccurrence.channel_pairs(fact, min_pairs=0))
+    }
+    assert got == want
+
+
+def test_pairs_count_row_pairs_and_days(make_fact, rows):
+    fact = make_fact(
+        {"creative_type": "A"}, {"creative_type": "B"}, {"channel": "TikTok"},
+        {"channel": "TikTok", "creative_type": "B"}, {"channel": "YouTube", "spend_gbp": 0},
+    )
+    got = rows(cooccurrence.channel_pairs(fact, min_pairs=3, details=True))
+    assert len(got) == 1
+    assert got[0]["channel_pair"] == "Meta + TikTok"
+    assert (got[0]["days_cooccurred"], got[0]["distinct_days"]) == (4, 1)
+    assert got[0]["combined_spend"] == 800.0
+    assert rows(cooccurrence.channel_pairs(fact, min_pairs=4)) == []
+
+
+def test_isolated_days_ignore_searches_without_spend(make_fact, rows):
+    fact = make_fact(
+        {"date": "2022-01-01", "channel": "TikTok"},
+        {"date": "2022-01-02", "channel": "TikTok"},
+        {"date": "2022-01-02", "channel": "Google_Search", "spend_gbp": 0},
+        {"date": "2022-01-03", "channel": "TikTok"},
+        {"date": "2022-01-03", "channel": "Google_Search"},
+        {"date": "2022-01-04", "channel": "TikTok", "spend_gbp": 0},
+    )
+    got = rows(cooccurrence.isolated_channel_days(fact))
+    assert [r["date"].day for r in got] == [1, 2]
+
+
+def test_channel_mix(make_fact, rows):
+    fact = make_fact(
+        {"date": "2022-01-01", "channel": "TikTok"}, {"date": "2022-01-01", "channel": "Meta"},
+        {"date": "2022-01-05", "channel": "TikTok"}, {"date": "2022-01-07", "channel": "Organic"},
+    )
+    month = rows(cooccurrence.monthly_channel_mix(fact))[0]
+    assert (month["channel_mix"], month["days_in_month"]) == ("Meta > TikTok", 2)
+    days = rows(cooccurrence.daily_active_channels(fact))
+    assert [d["active_channel_path"] for d in days] == ["Meta > TikTok", "TikTok"]
