@@ -77,3 +77,9 @@ def rows():
         return {tuple(r[k] for k in keys) if len(keys) > 1 else r[keys[0]]: r for r in got}
 
     return collect
+
+
+def plan_of(df) -> str:
+    """The formatted physical plan, which does not shorten filters and schemas."""
+    jvm = df.sparkSession._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
