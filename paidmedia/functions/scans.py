@@ -18,6 +18,10 @@ from paidmedia.sources.store import materialise
 
 GROUP_LIMIT = 2_000_000
 
+# More slices than shuffle partitions: the slices of a hot group are hashed to
+# partitions later, and small ones spread more evenly.
+SLICES_PER_PARTITION = 4
+
 
 def groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
     """Whether no group has more than ``limit`` rows; the count alone settles small inputs."""
@@ -52,8 +56,9 @@ def running_totals(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
         return df.select("*", *[F.sum(src).over(w).alias(new) for new, src in running.items()])
 
-    by = [*keys, *order]
-    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
+    if slices is None:
+        slices = SLICES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices, *keys, *order)
     # The slice number is written out, so that it means the same rows in both uses below.
     sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 

@@ -3,6 +3,8 @@
     spark-submit paidmedia/jobs.py enrich RAW_CSV OUT [--format parquet|csv]
     spark-submit paidmedia/jobs.py summary ENRICHED OUT
     spark-submit paidmedia/jobs.py report NAME FOLDER OUT
+
+``--shuffle-gb`` before the job's name sizes shuffle partitions for the largest shuffle.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from paidmedia.operators import enrich, performance  # noqa: E402
 from paidmedia.plans import catalog  # noqa: E402
+from paidmedia.session import session  # noqa: E402
 from paidmedia.sources import files  # noqa: E402
 
 
@@ -41,6 +44,7 @@ def run_report(spark: SparkSession, name: str, folder: str, target: str) -> None
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
+    parser.add_argument("--shuffle-gb", type=float, default=None)
     jobs = parser.add_subparsers(dest="job", required=True)
     job = jobs.add_parser("enrich")
     job.add_argument("source")
@@ -55,7 +59,8 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("target")
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"paidmedia-{args.job}").getOrCreate()
+    size = None if args.shuffle_gb is None else int(args.shuffle_gb * 1024**3)
+    spark = session(f"paidmedia-{args.job}", size)
     if args.job == "enrich":
         run_enrich(spark, args.source, args.target, args.format)
     elif args.job == "summary":

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paidmedia.functions.exprs import double, month_index, month_start, paid, ratio, rounded
-from paidmedia.sources.fact import order_touches
+from paidmedia.sources import schema
+from paidmedia.sources.fact import choose, order_touches
 
 
 def ltv_cohort_90d(fact: DataFrame, months: int = 3) -> DataFrame:
@@ -56,8 +57,11 @@ def customer_ltv_90d(orders: DataFrame, days: int = 90) -> DataFrame:
     customer contributes at most one row per calendar day to the window.
     """
     touches = order_touches(orders, F.col("o_totalprice").cast("decimal(12,2)").alias("value"))
+    # A number instead of the name keeps min_by in a hash aggregate.
+    number = choose(F.col("channel"), {c: i for i, c in enumerate(schema.CHANNELS, 1)})
+    name = F.element_at(F.array(*[F.lit(c) for c in schema.CHANNELS]), F.col("first_channel"))
     daily = touches.groupBy("o_custkey", "date").agg(
-        F.min_by("channel", "o_orderkey").alias("channel"),
+        F.min_by(number, "o_orderkey").alias("channel"),
         F.count(F.lit(1)).alias("orders"),
         F.sum("value").alias("value"),
     )
@@ -70,7 +74,7 @@ def customer_ltv_90d(orders: DataFrame, days: int = 90) -> DataFrame:
                 "first_channel": F.first("channel").over(by_date),
             }
         )
-        .groupBy("o_custkey", "first_date", F.col("first_channel").alias("channel"))
+        .groupBy("o_custkey", "first_date", name.alias("channel"))
         .agg(
             F.sum(F.when(in_window, F.col("orders"))).alias("orders"),
             F.sum(F.when(in_window, F.col("value"))).alias("value"),

@@ -49,7 +49,11 @@ def creative_fatigue_curve(
         "channel",
         "campaign_type",
         "revenue_gbp",
-        "orders",
+        # Row ratios before the shuffle: there are more scan tasks than creatives.
+        F.round(ratio("revenue_gbp", "spend_gbp").cast("decimal(38,10)"), 3)
+        .cast("decimal(18,3)")
+        .alias("row_roas"),
+        ratio("spend_gbp", "orders").cast(EXACT).alias("row_cpo"),
     )
     quartiles = bucketed(
         rows,
@@ -60,7 +64,6 @@ def creative_fatigue_curve(
         group_limit,
         slices,
     )
-    row_roas = F.round(ratio("revenue_gbp", "spend_gbp").cast("decimal(38,10)"), 3)
     curve = (
         quartiles.groupBy("creative_type", "spend_quartile")
         .agg(
@@ -68,8 +71,8 @@ def creative_fatigue_curve(
             F.min("spend_gbp").alias("lowest"),
             F.max("spend_gbp").alias("highest"),
             mean("spend_gbp").alias("avg_spend"),
-            mean(row_roas.cast(EXACT)).alias("avg_row_roas"),
-            mean(ratio("spend_gbp", "orders").cast(EXACT)).alias("avg_row_cpo"),
+            mean("row_roas").alias("avg_row_roas"),
+            mean("row_cpo").alias("avg_row_cpo"),
             ratio(F.sum("revenue_gbp"), F.sum("spend_gbp")).alias("pooled"),
         )
         .filter(F.col("row_count") > min_rows)
