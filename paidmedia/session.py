@@ -29,17 +29,10 @@ def settings(shuffle_bytes: int) -> dict[str, str]:
     }
 
 
-def session(app: str, shuffle_bytes: int | None = None, **conf: str) -> SparkSession:
-    """A session; what spark-submit or the cluster already set stays as it is."""
+def session(app: str, shuffle_bytes: int | None = None) -> SparkSession:
+    """A session; a size given here decides over what spark-submit was told."""
     builder = SparkSession.builder.appName(app)
-    known = SparkSession.getActiveSession()
-    if known is None and shuffle_bytes is not None:
-        from pyspark import SparkConf
-
-        given = SparkConf()
+    if shuffle_bytes is not None:
         for key, value in settings(shuffle_bytes).items():
-            if not given.contains(key):
-                builder = builder.config(key, value)
-    for key, value in conf.items():
-        builder = builder.config(key, value)
+            builder = builder.config(key, value)
     return builder.getOrCreate()

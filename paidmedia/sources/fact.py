@@ -8,11 +8,11 @@ Shape of the job at scale:
 * they are summed per (order, campaign, creative) before meeting orders, so an
   order with any number of lines enters the join as at most one row per
   campaign and creative;
-* those rows are summed per (customer, date, channel, campaign, creative), so a
-  customer with any number of orders enters the first-touch join as a number of
-  rows bounded by the calendar;
-* distinct orders and distinct customers are then plain counts of those rows:
-  no COUNT(DISTINCT), no Expand;
+* orders learn whether their customer is returning before that join, while rows are
+  few and narrow; first touches are unique, so a hot customer's orders can be split;
+* the joined rows are summed per (customer, date, channel, campaign, creative), and
+  distinct orders and customers are plain counts on the way: no COUNT(DISTINCT), no
+  Expand;
 * factors that depend only on the grain are applied after the last sum.
 """
 
@@ -98,21 +98,22 @@ def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataF
         F.sum("discount").cast(MONEY_SUM).alias("discount"),
     ]
     per_order = lines.groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums)
+    touches = (
+        order_touches(orders)
+        .join(first_touches(orders), ["o_custkey", "channel"])
+        .withColumn("returning", F.col("date") > F.col("first_date"))
+        .drop("first_date")
+    )
     per_customer = (
-        per_order.join(order_touches(orders), F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("o_custkey", *schema.GRAIN)
+        per_order.join(touches, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("o_custkey", "returning", *schema.GRAIN)
         .agg(F.count(F.lit(1)).alias("orders"), *sums)
     )
-    returning = F.col("date") > F.col("first_date")
-    grain = (
-        per_customer.join(first_touches(orders), ["o_custkey", "channel"])
-        .groupBy(*schema.GRAIN)
-        .agg(
-            F.sum("orders").alias("orders"),
-            F.count(F.when(~returning, 1)).alias("new_customers"),
-            F.count(F.when(returning, 1)).alias("returning_customers"),
-            *sums,
-        )
+    grain = per_customer.groupBy(*schema.GRAIN).agg(
+        F.sum("orders").alias("orders"),
+        F.count_if(~F.col("returning")).alias("new_customers"),
+        F.count_if(F.col("returning")).alias("returning_customers"),
+        *sums,
     )
 
     years = (F.year("date") - BASE_YEAR).cast("decimal(4,0)")
