@@ -1,10 +1,10 @@
 """Ordered computations that stay distributed when one group is huge.
 
 A plain window sends each group to one task.  The functions here first measure
-the input, and its largest group if the input is large.  Up to ``group_limit`` rows they use the plain window (one
-shuffle).  Beyond it they range-partition by group *and* order, so that a hot
-group is spread over many slices, scan each slice on its own and add the
-totals of the earlier slices.  Both ways give the same rows.
+the input, and its largest group if the input is large.  Up to ``group_limit``
+rows they use the plain window (one shuffle).  Beyond it they range-partition by
+group *and* order, so that a hot group is spread over many slices, scan each slice
+on its own and add the totals of the earlier slices.  Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -51,11 +51,31 @@ def running_totals(
 
     ``order`` has to be a total order within each group.
     """
-    upto = (Window.unboundedPreceding, Window.currentRow)
     if groups_fit(df, keys, group_limit):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
-        return df.select("*", *[F.sum(src).over(w).alias(new) for new, src in running.items()])
+        return _plain(df, keys, order, running)
+    return _sliced(df, keys, order, running, slices)
 
+
+def _upto(keys: Sequence, order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+
+
+def _plain(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], running: Mapping[str, str]
+) -> DataFrame:
+    w = _upto(keys, order)
+    return df.select("*", *[F.sum(src).over(w).alias(new) for new, src in running.items()])
+
+
+def _sliced(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    running: Mapping[str, str],
+    slices: int | None,
+) -> DataFrame:
     if slices is None:
         slices = SLICES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(slices, *keys, *order)
@@ -75,7 +95,7 @@ def running_totals(
         "_slice",
         *[F.coalesce(F.sum(f"_{new}").over(earlier), F.lit(0)).alias(f"_{new}") for new in running],
     )
-    w = Window.partitionBy(*[f"s.{k}" for k in keys], "s._slice").orderBy(*order).rowsBetween(*upto)
+    w = _upto([f"s.{k}" for k in [*keys, "_slice"]], order)
     return (
         sliced.alias("s")
         .join(offsets.alias("o"), same("s", "o", [*keys, "_slice"]))
@@ -103,9 +123,8 @@ def bucketed(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.ntile(buckets).over(w))
 
-    numbered = running_totals(
-        df.withColumn("_one", F.lit(1).cast("bigint")),
-        keys, order, {"_position": "_one"}, group_limit, slices,
+    numbered = _sliced(
+        df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, {"_position": "_one"}, slices
     )
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     at, size = F.col("_position") - 1, F.col("_size")
@@ -139,10 +158,12 @@ def quantiles(
         .groupBy(key, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    if df.count() > group_limit:
+    if df.count() <= group_limit:
+        placed = _plain(counts, [key], [value], {"_upto": "_n"})
+    else:
         counts = materialise(counts, "counts")
+        placed = running_totals(counts, [key], [value], {"_upto": "_n"}, group_limit, slices)
     sizes = counts.groupBy(key).agg(F.sum("_n").alias("_size"))
-    placed = running_totals(counts, [key], [value], {"_upto": "_n"}, group_limit, slices)
     joined = placed.alias("s").join(sizes.alias("o"), same("s", "o", [key])).select("s.*", "_size")
 
     def at(index: Column) -> Column:

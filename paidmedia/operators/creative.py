@@ -40,7 +40,8 @@ def creative_fatigue_curve(
     """ROAS by spend quartile of each creative.
 
     Rows of equal spend are ordered by the rest of the grain, which makes the
-    quartiles repeatable.  ``details`` adds spend bounds and the row count.
+    quartiles repeatable.  ``details`` adds spend bounds, the row count and
+    the conversion density, which is 1 wherever there are orders.
     """
     rows = with_spend(paid(fact)).select(
         "creative_type",
@@ -49,6 +50,7 @@ def creative_fatigue_curve(
         "channel",
         "campaign_type",
         "revenue_gbp",
+        "orders",
         # Row ratios before the shuffle: there are more scan tasks than creatives.
         F.round(ratio("revenue_gbp", "spend_gbp").cast("decimal(38,10)"), 3)
         .cast("decimal(18,3)")
@@ -74,6 +76,7 @@ def creative_fatigue_curve(
             mean("row_roas").alias("avg_row_roas"),
             mean("row_cpo").alias("avg_row_cpo"),
             ratio(F.sum("revenue_gbp"), F.sum("spend_gbp")).alias("pooled"),
+            F.sum("orders").alias("orders"),
         )
         .filter(F.col("row_count") > min_rows)
         .withColumn("pooled_roas", rounded("pooled", 3))
@@ -97,6 +100,7 @@ def creative_fatigue_curve(
             double("lowest").alias("min_spend"),
             double("highest").alias("max_spend"),
             "row_count",
+            rounded(ratio("orders", "orders"), 3).alias("conversion_density"),
         ]
     return curve.select(*columns).orderBy("creative_type", "spend_quartile")
 

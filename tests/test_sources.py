@@ -142,6 +142,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert store.new_path(spark, "x") != store.new_path(spark, "x")
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        store.shared_folder(Session())
+
+
 def test_derived_table_is_built_once(spark):
     built = []
 
