@@ -159,12 +159,15 @@ def quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     if df.count() <= group_limit:
-        placed = _plain(counts, [key], [value], {"_upto": "_n"})
+        size = F.sum("_n").over(Window.partitionBy(key))
+        joined = _plain(counts, [key], [value], {"_upto": "_n"}).withColumn("_size", size)
     else:
         counts = materialise(counts, "counts")
         placed = running_totals(counts, [key], [value], {"_upto": "_n"}, group_limit, slices)
-    sizes = counts.groupBy(key).agg(F.sum("_n").alias("_size"))
-    joined = placed.alias("s").join(sizes.alias("o"), same("s", "o", [key])).select("s.*", "_size")
+        sizes = counts.groupBy(key).agg(F.sum("_n").alias("_size"))
+        joined = placed.alias("s").join(sizes.alias("o"), same("s", "o", [key])).select(
+            "s.*", "_size"
+        )
 
     def at(index: Column) -> Column:
         holds = (F.col("_upto") - F.col("_n") <= index) & (index < F.col("_upto"))

@@ -130,122 +130,118 @@ def allocation_check(scenarios: DataFrame) -> DataFrame:
     )
 
 
-def budget_projection(
-    scenarios: DataFrame, roas: DataFrame, economics: DataFrame | None = None
+def _priced(
+    scenarios: DataFrame,
+    roas: DataFrame,
+    economics: DataFrame | None,
+    weights: DataFrame | None = None,
 ) -> DataFrame:
-    """Spend, revenue, orders, new customers and margin per scenario and channel.
+    """Scenario rows with what their channel returns, costs and weighs.
 
-    ``roas`` and ``economics`` hold one row per channel; Catalyst broadcasts them by
-    their known or measured size.
+    The joined tables hold one row per channel; Catalyst broadcasts them by their
+    known or measured size.
     """
-    economics = (
-        dimensions.channel_economics(scenarios.sparkSession) if economics is None else economics
-    )
-    joined = scenarios.join(roas, "channel", "left").join(economics, "channel", "left")
-    spend = F.col("budget") * F.col("pct") / 100
+    spark = scenarios.sparkSession
+    economics = dimensions.channel_economics(spark) if economics is None else economics
+    weights = dimensions.channel_weights(spark) if weights is None else weights
     return (
-        joined.select(
+        scenarios.join(roas, "channel", "left")
+        .join(economics, "channel", "left")
+        .join(weights, "channel", "left")
+        .select(
             "scenario_id",
+            "budget",
             "channel",
-            spend.alias("spend"),
-            (spend * F.coalesce("avg_roas", F.lit(DEFAULT_ROAS))).alias("revenue"),
+            "pct",
+            (double("weight") * 100).alias("baseline_pct"),
+            F.coalesce("avg_roas", F.lit(DEFAULT_ROAS)).alias("roas"),
             F.coalesce("aov", F.lit(DEFAULT_AOV)).alias("aov"),
             F.coalesce("nc_ratio", F.lit(DEFAULT_NC_RATIO)).alias("nc_ratio"),
         )
-        .withColumn("orders", ratio("revenue", "aov", 0))
-        .select(
-            "scenario_id",
-            "channel",
-            "spend",
-            "revenue",
-            "orders",
-            (F.col("orders") * F.col("nc_ratio")).alias("new_cust"),
-            (F.col("revenue") * float(GROSS_MARGIN) - F.col("spend")).alias("cm"),
-        )
     )
 
 
-def projection_totals(projection: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Scenario totals; CAC and margin are taken on the whole budget.
-
-    Where percentages do not sum to 100, ``total_cm`` differs from the sum of margins.
-    """
-    budgets = scenarios.groupBy("scenario_id").agg(F.max("budget").alias("budget"))
-    sums = projection.groupBy("scenario_id").agg(
-        F.sum(F.col("revenue").cast(AMOUNT)).alias("revenue"),
-        F.sum(F.col("orders").cast(AMOUNT)).alias("orders"),
-        F.sum(F.col("new_cust").cast(AMOUNT)).alias("new_cust"),
-    )
-    return sums.join(budgets, "scenario_id").select(
-        "scenario_id",
-        double("revenue").alias("total_revenue"),
-        double("orders").alias("total_orders"),
-        ratio("budget", "new_cust", 0).alias("total_cac"),
-        (double("revenue") * float(GROSS_MARGIN) - F.col("budget")).alias("total_cm"),
-    )
+def _outcome(pct: str) -> dict[str, Column]:
+    """What a percentage of the budget buys in one channel."""
+    spend = F.col("budget") * F.col(pct) / 100
+    revenue = spend * F.col("roas")
+    orders = ratio(revenue, "aov", 0)
+    return {
+        "spend": spend,
+        "revenue": revenue,
+        "orders": orders,
+        "new_cust": orders * F.col("nc_ratio"),
+        "cm": revenue * float(GROSS_MARGIN) - spend,
+    }
 
 
-def baseline_scenarios(scenarios: DataFrame, weights: DataFrame | None = None) -> DataFrame:
-    """For each scenario the same budget, split by the channel weights."""
-    spark = scenarios.sparkSession
-    weights = dimensions.channel_weights(spark) if weights is None else weights
-    return scenarios.join(weights, "channel").select(
-        "scenario_id", "budget", "channel", (double("weight") * 100).alias("pct")
+def budget_projection(
+    scenarios: DataFrame, roas: DataFrame, economics: DataFrame | None = None
+) -> DataFrame:
+    """Spend, revenue, orders, new customers and margin per scenario and channel."""
+    return _priced(scenarios, roas, economics).select(
+        "scenario_id", "channel", *[c.alias(name) for name, c in _outcome("pct").items()]
     )
 
 
-def scenario_vs_baseline(
-    scenarios: DataFrame, roas: DataFrame, weights: DataFrame | None = None
-) -> DataFrame:
-    """Each scenario against the split by weights, channel by channel."""
-    baseline = baseline_scenarios(scenarios, weights)
-    both = scenarios.withColumn("side", F.lit("chosen")).unionByName(
-        baseline.withColumn("side", F.lit("baseline"))
-    )
-    # One projection of both sides: the sides only differ in their percentages.
-    tagged = both.withColumn("scenario_id", F.struct("scenario_id", "side"))
-    projected = budget_projection(tagged, roas)
-    side = F.col("scenario_id.side")
+def _scenario_sums(priced: DataFrame) -> DataFrame:
+    chosen, baseline = _outcome("pct"), _outcome("baseline_pct")
 
-    def of(which: str, column: str) -> Column:
-        return F.max(F.when(side == which, F.col(column)))
+    def total(amount: Column) -> Column:
+        return F.sum(amount.cast(AMOUNT))
 
+    margin_on_budget = double("revenue") * float(GROSS_MARGIN) - F.col("budget")
+    baseline_margin = double("base_revenue") * float(GROSS_MARGIN) - F.col("budget")
     return (
-        projected.groupBy(F.col("scenario_id.scenario_id").alias("scenario_id"), "channel")
+        priced.groupBy("scenario_id")
         .agg(
-            of("chosen", "revenue").alias("revenue"),
-            of("baseline", "revenue").alias("baseline_revenue"),
-            of("chosen", "cm").alias("cm"),
-            of("baseline", "cm").alias("baseline_cm"),
+            F.max("budget").alias("budget"),
+            total(chosen["revenue"]).alias("revenue"),
+            total(chosen["orders"]).alias("orders"),
+            total(chosen["new_cust"]).alias("new_cust"),
+            total(baseline["revenue"]).alias("base_revenue"),
         )
         .select(
             "scenario_id",
-            "channel",
-            "revenue",
-            "baseline_revenue",
-            (F.col("revenue") - F.col("baseline_revenue")).alias("revenue_delta"),
-            (F.col("cm") - F.col("baseline_cm")).alias("cm_delta"),
+            double("revenue").alias("total_revenue"),
+            double("orders").alias("total_orders"),
+            ratio("budget", "new_cust", 0).alias("total_cac"),
+            margin_on_budget.alias("total_cm"),
+            (double("revenue") - double("base_revenue")).alias("revenue_vs_baseline"),
+            (margin_on_budget - baseline_margin).alias("cm_vs_baseline"),
         )
     )
 
 
-def scenario_totals_vs_baseline(
-    scenarios: DataFrame, roas: DataFrame, weights: DataFrame | None = None
+def projection_totals(
+    scenarios: DataFrame, roas: DataFrame, economics: DataFrame | None = None
 ) -> DataFrame:
-    """Scenario totals and how far revenue and margin lie from the split by weights."""
-    chosen = projection_totals(budget_projection(scenarios, roas), scenarios)
-    baseline = baseline_scenarios(scenarios, weights)
-    against = projection_totals(budget_projection(baseline, roas), baseline).select(
-        "scenario_id",
-        F.col("total_revenue").alias("baseline_revenue"),
-        F.col("total_cm").alias("baseline_cm"),
+    """Scenario totals; CAC and margin are taken on the whole budget.
+
+    Where percentages do not sum to 100, ``total_cm`` differs from the sum of margins.
+    """
+    return _scenario_sums(_priced(scenarios, roas, economics)).select(
+        "scenario_id", "total_revenue", "total_orders", "total_cac", "total_cm"
     )
-    return chosen.join(against, "scenario_id").select(
+
+
+def scenario_vs_baseline(
+    scenarios: DataFrame, roas: DataFrame, weights: DataFrame | None = None
+) -> DataFrame:
+    """Each scenario against its budget split by the channel weights, channel by channel."""
+    chosen, baseline = _outcome("pct"), _outcome("baseline_pct")
+    return _priced(scenarios, roas, None, weights).select(
         "scenario_id",
-        "total_revenue",
-        "total_orders",
-        "total_cac",
-        "total_cm",
-        (F.col("total_revenue") - F.col("baseline_revenue")).alias("revenue_vs_baseline"),
-        (F.col("total_cm") - F.col("baseline_cm")).alias("cm_vs_baseline"),
+        "channel",
+        chosen["revenue"].alias("revenue"),
+        baseline["revenue"].alias("baseline_revenue"),
+        (chosen["revenue"] - baseline["revenue"]).alias("revenue_delta"),
+        (chosen["cm"] - baseline["cm"]).alias("cm_delta"),
     )
+
+
+def scenario_totals_vs_baseline(
+    scenarios: DataFrame, roas: DataFrame, weights: DataFrame | None = None
+) -> DataFrame:
+    """Scenario totals and how far revenue and margin lie from the split by weights."""
+    return _scenario_sums(_priced(scenarios, roas, None, weights))

@@ -176,9 +176,7 @@ def queries() -> dict[str, Query]:
         "spend_scenarios": on_fact(budget.spend_scenarios),
         "allocation_check": on_scenarios(lambda s, roas: budget.allocation_check(s)),
         "budget_projection": on_scenarios(budget.budget_projection),
-        "projection_totals": on_scenarios(
-            lambda s, roas: budget.projection_totals(budget.budget_projection(s, roas), s)
-        ),
+        "projection_totals": on_scenarios(budget.projection_totals),
         "scenario_vs_baseline": on_scenarios(budget.scenario_vs_baseline),
         "scenario_totals_vs_baseline": on_scenarios(budget.scenario_totals_vs_baseline),
         # Attribution

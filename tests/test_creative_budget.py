@@ -141,7 +141,7 @@ def test_projection_uses_defaults_and_the_whole_budget(spark, rows):
     assert got["Meta"]["new_cust"] == pytest.approx(22)
     assert got["Radio"]["revenue"] == pytest.approx(500)
     assert got["Radio"]["new_cust"] == pytest.approx(500 / 55 * 0.5)
-    total = rows(budget.projection_totals(projected, scenarios))[0]
+    total = rows(budget.projection_totals(scenarios, roas))[0]
     assert total["total_cm"] == pytest.approx(2700 * 0.45 - 1000)
     assert total["total_cm"] != pytest.approx(sum(r["cm"] for r in got.values()))
     check = rows(budget.allocation_check(scenarios))[0]
