@@ -82,21 +82,20 @@ def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataF
         F.col("p_partkey").alias("l_partkey"),
         choose(F.col("p_type"), CREATIVE_OF_TYPE, F.lit(OTHER_CREATIVE)).alias("creative_type"),
     )
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    # Prices are whole pennies and discounts whole hundredths: integer arithmetic per
+    # row, and DECIMAL sums that no hot group can overflow.
+    pennies = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    hundredths = F.rint(F.col("l_discount") * 100).cast("bigint")
     lines = lineitem.select(
         "l_orderkey",
         "l_partkey",
         choose(F.col("l_returnflag"), CAMPAIGN_OF_FLAG).alias("campaign_type"),
         F.col("l_quantity").cast("bigint").alias("units"),
-        price.alias("gross"),
-        (price * F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
+        pennies.cast("decimal(14,0)").alias("price_e2"),
+        (pennies * hundredths).cast("decimal(18,0)").alias("discount_e4"),
     ).join(creatives, "l_partkey")
 
-    sums = [
-        F.sum("units").alias("units"),
-        F.sum("gross").cast(MONEY_SUM).alias("gross"),
-        F.sum("discount").cast(MONEY_SUM).alias("discount"),
-    ]
+    sums = [F.sum(c).alias(c) for c in ("units", "price_e2", "discount_e4")]
     per_order = lines.groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums)
     touches = (
         order_touches(orders)
@@ -129,13 +128,15 @@ def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataF
         },
     )
     campaign_rate = choose(F.col("campaign_type"), SPEND_OF_CAMPAIGN).cast("decimal(3,1)")
-    revenue = F.round(F.col("gross") - F.col("discount"), 2).cast(schema.MONEY)
+    price = (F.col("price_e2") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY_SUM)
+    discount = (F.col("discount_e4") * F.lit("0.0001").cast("decimal(5,4)")).cast(MONEY_SUM)
+    revenue = F.round(price - discount, 2).cast(schema.MONEY)
     order_value = revenue.cast("double") / F.col("orders").cast("double")
     return grain.select(
         *schema.GRAIN,
         (F.col("units") * IMPRESSIONS_PER_UNIT).alias("impressions"),
         (F.col("units") * choose(F.col("channel"), CLICKS_PER_UNIT).cast("bigint")).alias("clicks"),
-        F.round(F.col("discount") * channel_rate * campaign_rate, 2)
+        F.round(discount * channel_rate * campaign_rate, 2)
         .cast(schema.MONEY)
         .alias("spend_gbp"),
         "orders",
