@@ -32,11 +32,12 @@ from paidmedia.llm.common import binary
 
 WINDOW, STRIDE = 32, 16
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
-#: Windows per document to learn from: the most suspicious and others.
-TOP_WINDOWS, OTHER_WINDOWS = 2, 1
+#: The most suspicious windows of a clean document to learn from.
+TOP_WINDOWS = 2
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 16, 1 << 16, (3, 4, 5)
-DIM, HIDDEN, ATTENTION = 4, 8, 8
-STEPS, BATCH, SEED = 1_200, 128, 11
+DIM, HIDDEN, ATTENTION, FOLDS = 4, 8, 8, 4
+STEPS, BATCH, SEED = 600, 128, 11
+RATE, EMBEDDING_RATE = 0.01, 0.02
 #: Words a task keeps the inputs of, and words it scores at a time.
 MEMO_WORDS, CHUNK_WORDS, CHUNK_WINDOWS = 250_000, 100_000, 2048
 THRESHOLD = 0.3
@@ -84,15 +85,27 @@ def starts_of(n_words: int) -> range:
 
 
 class Inputs:
-    """The network's input for words: embeddings and log odds of the word and its n-grams."""
+    """The network's input for words: embeddings and log odds of the word and its n-grams.
+
+    ``counts[f, toxic]`` has the documents of fold f by bucket: the number of documents,
+    then those with each word bucket, then those with each n-gram bucket.  A text that is
+    learned from meets the odds of the other folds, as a new text would.
+    """
 
     size = 2 * DIM + 2
 
-    def __init__(self, word_odds: np.ndarray, gram_odds: np.ndarray) -> None:
+    def __init__(self, counts: np.ndarray) -> None:
         rng = np.random.default_rng(SEED)
-        self.word_odds, self.gram_odds = word_odds.astype(np.float32), gram_odds.astype(np.float32)
-        self.words = rng.normal(0, 0.05, (WORD_BUCKETS, DIM)).astype(np.float32)
-        self.grams = rng.normal(0, 0.05, (GRAM_BUCKETS, DIM)).astype(np.float32)
+        total = counts.sum(axis=0)
+        self.odds = [self._odds(total - counts[f]) for f in range(FOLDS)] + [self._odds(total)]
+        self.words = rng.normal(0, 0.02, (WORD_BUCKETS, DIM)).astype(np.float32)
+        self.grams = rng.normal(0, 0.02, (GRAM_BUCKETS, DIM)).astype(np.float32)
+
+    @staticmethod
+    def _odds(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        clean, toxic = counts.astype(float)
+        odds = log_odds(toxic[1:], clean[1:], toxic[0], clean[0]).astype(np.float32)
+        return odds[:WORD_BUCKETS], odds[WORD_BUCKETS:]
 
     def parts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         buckets = word_buckets(words)
@@ -101,21 +114,24 @@ class Inputs:
         return buckets, owner, grams, first
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        return self.combine(*self.parts(words))
+        parts = self.parts(words)
+        return self.combine(*parts, self.evidence(*parts, FOLDS))
+
+    def evidence(self, buckets: np.ndarray, owner: np.ndarray, grams: np.ndarray, first: np.ndarray, fold: int) -> np.ndarray:
+        """The log odds of each word and the highest of its n-grams."""
+        words, of_grams = self.odds[fold]
+        return np.stack([words[buckets], np.maximum.reduceat(of_grams[grams], first)], axis=1)
 
-    def combine(self, buckets: np.ndarray, owner: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
-        out = np.empty((len(buckets), self.size), np.float32)
-        out[:, :DIM] = self.words[buckets]
+    def combine(
+        self, buckets: np.ndarray, owner: np.ndarray, grams: np.ndarray, first: np.ndarray, evidence: np.ndarray
+    ) -> np.ndarray:
         n = np.bincount(owner, minlength=len(buckets)).astype(np.float32)
-        out[:, DIM : 2 * DIM] = np.add.reduceat(self.grams[grams], first) / n[:, None]
-        out[:, -2] = self.word_odds[buckets]
-        out[:, -1] = np.maximum.reduceat(self.gram_odds[grams], first)
-        return out
+        pooled = np.add.reduceat(self.grams[grams], first) / n[:, None]
+        return np.concatenate([self.words[buckets], pooled, evidence], axis=1)
 
-    def suspicion(self, words: list[bytes]) -> np.ndarray:
+    def suspicion(self, words: list[bytes], fold: int) -> np.ndarray:
         """What the log odds alone say of each word."""
-        buckets, _, grams, first = self.parts(words)
-        return np.maximum(self.word_odds[buckets], 0) + np.maximum(np.maximum.reduceat(self.gram_odds[grams], first), 0)
+        return np.maximum(self.evidence(*self.parts(words), fold), 0).sum(axis=1)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -207,7 +223,7 @@ class Network:
         return g, dx
 
 
-def train(windows: list[bytes], labels: np.ndarray, inputs: Inputs) -> Network:
+def train(windows: list[bytes], folds: np.ndarray, labels: np.ndarray, inputs: Inputs) -> Network:
     """Fit the network and the embeddings to windows of words by Adam and Adagrad."""
     network = Network(inputs.size)
     rng = np.random.default_rng(SEED + 2)
@@ -219,40 +235,48 @@ def train(windows: list[bytes], labels: np.ndarray, inputs: Inputs) -> Network:
     for i, ws in enumerate(words):
         index[i, : len(ws)] = [number[w] for w in ws]
         mask[i, : len(ws)] = 1
-    buckets, owner, grams, first = inputs.parts(vocabulary)
+    parts = buckets, owner, grams, first = inputs.parts(vocabulary)
     n_grams = np.bincount(owner, minlength=len(vocabulary))
+    evidence = np.stack([inputs.evidence(*parts, f) for f in range(FOLDS)])
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in network.p.items()}
-    squares = [np.full((WORD_BUCKETS, DIM), 1e-6, np.float32), np.full((GRAM_BUCKETS, DIM), 1e-6, np.float32)]
+    squares = [np.full((n, DIM), 1e-6, np.float32) for n in (WORD_BUCKETS, GRAM_BUCKETS)]
     order = np.empty(0, np.int64)
     for step in range(1, STEPS + 1):
-        if len(order) < BATCH:
+        while len(order) < BATCH:
             order = np.concatenate([order, rng.permutation(len(words))])
         rows, order = order[:BATCH], order[BATCH:]
         used, local = np.unique(index[rows], return_inverse=True)
+        local = local.reshape(BATCH, WINDOW)
         # The n-grams of the words in use, renumbered.
-        spans = [np.arange(first[u], first[u] + n_grams[u]) for u in used]
         g_owner = np.repeat(np.arange(len(used)), n_grams[used])
-        g_ids = grams[np.concatenate(spans)]
         g_first = np.concatenate([[0], np.cumsum(n_grams[used])[:-1]])
-        x = inputs.combine(buckets[used], g_owner, g_ids, g_first)
-        grads, dx = network.gradients(x[local.reshape(len(rows), WINDOW)], mask[rows], labels[rows])
+        g_ids = grams[np.arange(len(g_owner)) - g_first[g_owner] + first[used][g_owner]]
+        x = inputs.combine(buckets[used], g_owner, g_ids, g_first, np.zeros((len(used), 2), np.float32))[local]
+        x[..., -2:] = evidence[folds[rows, None], index[rows]]
+        grads, dx = network.gradients(x, mask[rows], labels[rows])
         for k, g in grads.items():
             m, v = moment[k]
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
-            network.p[k] -= (0.005 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-        flat, local = dx.reshape(-1, inputs.size), local.ravel()
-        to_word = np.stack([np.bincount(local, flat[:, i], len(used)) for i in range(2 * DIM)], axis=1)
-        to_gram = to_word[g_owner, DIM:] / n_grams[used][g_owner][:, None]
-        for which, ids, d in ((0, buckets[used], to_word[:, :DIM]), (1, g_ids, to_gram)):
-            table = inputs.words if which == 0 else inputs.grams
+            network.p[k] -= (RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+        to_word = sums(local.ravel(), dx.reshape(-1, inputs.size)[:, : 2 * DIM], len(used))
+        to_gram = (to_word[:, DIM:] / n_grams[used][:, None])[g_owner]
+        for table, seen, ids, d in (
+            (inputs.words, squares[0], buckets[used], to_word[:, :DIM]),
+            (inputs.grams, squares[1], g_ids, to_gram),
+        ):
             unique, back = np.unique(ids, return_inverse=True)
-            g = np.stack([np.bincount(back, d[:, i], len(unique)) for i in range(DIM)], axis=1)
-            squares[which][unique] += g * g
-            table[unique] -= (0.05 * g / np.sqrt(squares[which][unique])).astype(np.float32)
+            g = sums(back, d, len(unique))
+            seen[unique] += g * g
+            table[unique] -= (EMBEDDING_RATE * g / np.sqrt(seen[unique])).astype(np.float32)
     return network
 
 
+def sums(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Column sums of the rows of each group."""
+    return np.stack([np.bincount(group, column, n) for column in values.T], axis=1)
+
+
 class Gates(dict):
     """Word to row of a growing table of gate inputs; row 0 is no word."""
 
@@ -356,65 +380,78 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sample = narrow.join(F.broadcast(listed), F.col("doc_id") == F.col("label_id")).select("toxic", "text")
 
+    width = 1 + WORD_BUCKETS + GRAM_BUCKETS
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((2, 1 + WORD_BUCKETS + GRAM_BUCKETS), np.int64)
+        seen = np.zeros((FOLDS, 2, width), np.int32)
         for batch in batches:
-            for toxic, data in zip(batch.column(0).to_pylist(), lowered(batch.column(1)), strict=True):
-                words = list(set(WORD.findall(data or b"")))
-                seen[toxic, 0] += 1
-                if words:
-                    seen[toxic, 1 + np.unique(word_buckets(words))] += 1
-                    seen[toxic, 1 + WORD_BUCKETS + np.unique(gram_buckets(words)[1])] += 1
-        used = np.flatnonzero(seen.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(seen[1, used]), pa.array(seen[0, used])], names=["bucket", "toxic", "clean"]
-        )
+            for toxic, text in zip(batch.column(0).to_pylist(), lowered(batch.column(1)), strict=True):
+                add_document(seen[fold_of(text), toxic], text)
+        flat = seen.ravel()
+        used = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used], pa.int64())], names=["cell", "n"])
 
     counted = (
-        sample.mapInArrow(count, "bucket bigint, toxic bigint, clean bigint")
-        .groupBy("bucket")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .toArrow()  # one row per bucket at most
-    )
-    totals = np.zeros((2, 1 + WORD_BUCKETS + GRAM_BUCKETS))
-    bucket = counted["bucket"].to_numpy()
-    totals[1, bucket], totals[0, bucket] = counted["toxic"].to_numpy(), counted["clean"].to_numpy()
-    n_clean, n_toxic = totals[:, 0]
-    if not n_clean or not n_toxic:
+        sample.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    )  # one row per cell at most
+    counts = np.zeros(FOLDS * 2 * width, np.int64)
+    counts[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    counts = counts.reshape(FOLDS, 2, width)
+    if not counts[:, :, 0].sum(axis=0).all():
         return None
-    odds = log_odds(totals[1, 1:], totals[0, 1:], n_toxic, n_clean)
-    inputs = Inputs(odds[:WORD_BUCKETS], odds[WORD_BUCKETS:])
+    inputs = Inputs(counts)
     shared = spark.sparkContext.broadcast(inputs)
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for toxic, data in zip(batch.column(0).to_pylist(), lowered(batch.column(1)), strict=True):
-                words = WORD.findall(data or b"")
-                if not words:
-                    continue
-                starts = np.array(starts_of(len(words)))
-                total = np.concatenate([[0], np.cumsum(shared.value.suspicion(words))])
-                order = np.argsort(-(total[np.minimum(starts + WINDOW, len(words))] - total[starts]), kind="stable")
-                chosen = order[:TOP_WINDOWS].tolist()
-                if not toxic and len(order) > TOP_WINDOWS:
-                    chosen.append(int(order[xxhash.xxh32_intdigest(data) % (len(order) - TOP_WINDOWS) + TOP_WINDOWS]))
-                # A toxic text need not be toxic beyond its worst window.
-                for k in chosen[: 1 if toxic else len(chosen)]:
-                    rows.append((toxic, b" ".join(words[starts[k] : starts[k] + WINDOW])))
-            columns = list(zip(*rows, strict=True)) if rows else [[], []]
+            for toxic, text in zip(batch.column(0).to_pylist(), lowered(batch.column(1)), strict=True):
+                rows += [(toxic, fold_of(text), w) for w in windows_to_learn(shared.value, toxic, text)]
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            kinds = [pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(columns[0]), pa.int32()), pa.array(list(columns[1]), pa.binary())], names=["toxic", "words"]
+                [pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["toxic", "fold", "words"]
             )
 
-    windows = sample.mapInArrow(choose, "toxic int, words binary").toArrow()  # a few per sampled document
-    texts = windows["words"].to_pylist()
-    y = windows["toxic"].to_numpy().astype(np.float32)
-    order = sorted(range(len(texts)), key=lambda i: (texts[i], y[i]))
-    network = train([texts[i] for i in order], y[order], inputs)
+    windows = sample.mapInArrow(choose, "toxic int, fold int, words binary").toArrow()  # a few per sampled document
+    rows = sorted(zip(*(windows[c].to_pylist() for c in ("words", "toxic", "fold")), strict=True))
+    if not rows:
+        return None
+    texts, toxic, folds = zip(*rows, strict=True)
+    network = train(list(texts), np.array(folds), np.array(toxic, np.float32), inputs)
     return inputs, network
 
 
+def fold_of(text: bytes | None) -> int:
+    """Equal texts are in the same fold."""
+    return xxhash.xxh32_intdigest(text or b"") % FOLDS
+
+
+def add_document(seen: np.ndarray, text: bytes | None) -> None:
+    """Count a document and its distinct word and n-gram buckets."""
+    words = list(set(WORD.findall(text or b"")))
+    seen[0] += 1
+    if words:
+        seen[1 + np.unique(word_buckets(words))] += 1
+        seen[1 + WORD_BUCKETS + np.unique(gram_buckets(words)[1])] += 1
+
+
+def windows_to_learn(inputs: Inputs, toxic: int, text: bytes | None) -> list[bytes]:
+    """The most suspicious window; of a clean text also the next ones and another."""
+    words = WORD.findall(text or b"")
+    if not words:
+        return []
+    starts = np.array(starts_of(len(words)))
+    total = np.concatenate([[0], np.cumsum(inputs.suspicion(words, fold_of(text)))])
+    order = np.argsort(-(total[np.minimum(starts + WINDOW, len(words))] - total[starts]), kind="stable")
+    # A toxic text need not be toxic beyond its worst window.
+    chosen = order[: 1 if toxic else TOP_WINDOWS].tolist()
+    rest = len(order) - TOP_WINDOWS
+    if not toxic and rest > 0:
+        chosen.append(int(order[TOP_WINDOWS + xxhash.xxh32_intdigest(text, 1) % rest]))
+    return [b" ".join(words[starts[k] : starts[k] + WINDOW]) for k in chosen]
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
