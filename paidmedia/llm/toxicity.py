@@ -36,7 +36,7 @@ TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
 TOP_WINDOWS = 2
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 16, 1 << 16, (3, 4, 5)
 DIM, HIDDEN, ATTENTION, FOLDS = 4, 8, 8, 4
-STEPS, BATCH, SEED = 600, 128, 11
+STEPS, BATCH, SEED = 500, 128, 11
 RATE, EMBEDDING_RATE = 0.01, 0.02
 #: Words a task keeps the inputs of, and words it scores at a time.
 MEMO_WORDS, CHUNK_WORDS, CHUNK_WINDOWS = 250_000, 100_000, 2048
@@ -152,9 +152,9 @@ class Network:
         for d in "fb":
             self.p |= {f"W{d}": normal(size, 3 * HIDDEN), f"U{d}": normal(HIDDEN, 3 * HIDDEN), f"c{d}": np.zeros(3 * HIDDEN, np.float32)}
 
-    def gates(self, inputs: np.ndarray) -> np.ndarray:
-        """What words add to the gates of both directions; it does not depend on their places."""
-        return np.concatenate([inputs @ self.p[f"W{d}"] + self.p[f"c{d}"] for d in "fb"], axis=1)
+    def gates(self, inputs: np.ndarray) -> list[np.ndarray]:
+        """What words add to the gates of each direction; it does not depend on their places."""
+        return [inputs @ self.p[f"W{d}"] + self.p[f"c{d}"] for d in "fb"]
 
     def layer(self, gates: np.ndarray, mask: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
         """States (window, place, HIDDEN) from gate inputs (window, place, 3 HIDDEN)."""
@@ -182,10 +182,35 @@ class Network:
         alpha = e / (e.sum(axis=1, keepdims=True) + 1e-9)
         return a, alpha, np.einsum("ntk,nt->nk", states, alpha)
 
-    def logits(self, gates: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        k = 3 * HIDDEN
-        states = np.concatenate([self.layer(gates[..., :k], mask, "f"), self.layer(gates[..., k:], mask, "b")], axis=2)
-        return self.attend(states, mask)[2] @ self.p["w"] + self.p["o"]
+    def logits(self, tables: list[np.ndarray], rows: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """Of windows whose word inputs are ``rows`` of each direction's table; as ``layer``, in place."""
+        length, n = rows.shape
+        states = np.empty((n, length, 2 * HIDDEN), np.float32)
+        full = mask.all(axis=1)
+        g, u = np.empty((2, n, 3 * HIDDEN), np.float32)
+        zr, new = np.empty((n, 2 * HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
+        for i, d in enumerate("fb"):
+            h = np.zeros((n, HIDDEN), np.float32)
+            for t in range(length) if d == "f" else range(length - 1, -1, -1):
+                np.take(tables[i], rows[t], axis=0, out=g, mode="clip")
+                np.matmul(h, self.p[f"U{d}"], out=u)
+                np.add(g[:, : 2 * HIDDEN], u[:, : 2 * HIDDEN], out=zr)
+                np.negative(zr, out=zr)
+                np.exp(zr, out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                np.multiply(zr[:, HIDDEN:], u[:, 2 * HIDDEN :], out=new)
+                new += g[:, 2 * HIDDEN :]
+                np.tanh(new, out=new)
+                new -= h
+                z = zr[:, :HIDDEN]
+                np.subtract(1, z, out=z)
+                new *= z
+                if not full[t]:
+                    new *= mask[t][:, None]
+                h += new
+                states[:, t, i * HIDDEN : (i + 1) * HIDDEN] = h
+        return self.attend(states, mask.T)[2] @ self.p["w"] + self.p["o"]
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Of the mean log loss, for the parameters and for the inputs x."""
@@ -278,12 +303,12 @@ def sums(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Gates(dict):
-    """Word to row of a growing table of gate inputs; row 0 is no word."""
+    """Word to row of the growing tables of gate inputs; row 0 is no word."""
 
     def __init__(self, inputs: Inputs, network: Network) -> None:
         self.inputs, self.network = inputs, network
         self.new: list[bytes] = []
-        self.table = np.zeros((1, 6 * HIDDEN), np.float32)
+        self.tables = [np.zeros((1, 3 * HIDDEN), np.float32) for _ in "fb"]
         self.rows = 1
 
     def __missing__(self, word: bytes) -> int:
@@ -291,12 +316,14 @@ class Gates(dict):
         self.new.append(word)
         return at
 
-    def update_table(self) -> None:
+    def update_tables(self) -> None:
         if self.new:
             rows = self.rows + len(self.new)
-            if rows > len(self.table):
-                self.table = np.resize(self.table, (2 * rows, self.table.shape[1]))
-            self.table[self.rows : rows] = self.network.gates(self.inputs.of(self.new))
+            for i, new in enumerate(self.network.gates(self.inputs.of(self.new))):
+                if rows > len(self.tables[i]):
+                    more = np.zeros((rows, 3 * HIDDEN), np.float32)
+                    self.tables[i] = np.concatenate([self.tables[i], more])
+                self.tables[i][self.rows : rows] = new
             self.rows, self.new = rows, []
 
     def forget(self) -> None:
@@ -330,7 +357,7 @@ class Scorer:
     def flush(self, held: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
         if not held:
             return
-        self.gates.update_table()
+        self.gates.update_tables()
         words = np.concatenate([ids for _, ids in held] + [np.zeros(WINDOW, np.int64)])
         owners, starts, ends = [], [], []
         at = 0
@@ -342,10 +369,10 @@ class Scorer:
             at += len(ids)
         owner, start, end = map(np.concatenate, (owners, starts, ends))
         for k in range(0, len(start), CHUNK_WINDOWS):
-            place = start[k : k + CHUNK_WINDOWS, None] + np.arange(WINDOW)
-            mask = (place < end[k : k + CHUNK_WINDOWS, None]).astype(np.float32)
+            place = start[None, k : k + CHUNK_WINDOWS] + np.arange(WINDOW)[:, None]
+            mask = (place < end[None, k : k + CHUNK_WINDOWS]).astype(np.float32)
             rows = np.where(mask > 0, words[np.minimum(place, len(words) - 1)], 0)
-            p = sigmoid(self.network.logits(self.gates.table[rows], mask))
+            p = sigmoid(self.network.logits(self.gates.tables, rows, mask))
             np.maximum.at(out, owner[k : k + CHUNK_WINDOWS], p)
         if len(self.gates) > MEMO_WORDS:
             self.gates.forget()
