@@ -125,9 +125,9 @@ def communication_matrix(blocks: DataFrame, shard_sizes: list[int], seed: int) -
         dealt = F.aggregate(
             "children",
             F.struct(F.col("counts").alias("rest"), empty.alias("out")),
-            lambda s, c, level=level: F.element_at(
+            lambda s, c: F.element_at(
                 F.transform(
-                    F.array(drawn_counts(s["rest"], c["n"], F.lit(seed), F.lit(level), c["child"])),
+                    F.array(drawn_counts(s["rest"], c["n"], F.lit(seed), F.lit(level), c["child"])),  # noqa: B023
                     lambda a: F.struct(
                         F.zip_with(s["rest"], a, lambda x, y: x - y).alias("rest"),
                         F.concat(
