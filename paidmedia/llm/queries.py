@@ -140,8 +140,8 @@ def oracle_sql() -> dict[str, str]:
                 SELECT l.rid, l.at, l.line, b.bare IS NOT NULL AS gone FROM lines l LEFT JOIN boiler b
                 ON l.source = b.source AND trim(l.line, ' ' || chr(9) || chr(13)) = b.bare),
             rebuilt AS (
-                SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '') AS text,
-                    count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped
+                SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS text,
+                    count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped
                 FROM judged GROUP BY rid)
             SELECT doc_id, source, r.text AS text, n_lines::INT AS n_lines,
                 coalesce(n_dropped, 0)::INT AS n_dropped

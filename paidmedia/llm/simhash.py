@@ -149,16 +149,20 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def fingerprint_classes(prints: DataFrame, bits: str, doc_id: str, max_bits: int) -> DataFrame:
-    """(bits, component_id) for each distinct fingerprint of a frozen table of fingerprints."""
+    """(bits, group, component_id) of each distinct fingerprint of a frozen table of fingerprints.
+
+    ``group`` is a fingerprint of the component, the same for all its members.
+    """
     distinct = freeze(
         prints.groupBy(F.col(bits).alias("bits")).agg(F.min(doc_id).alias("first_id"))
     )
     roots = freeze(connected(links(distinct, "bits", max_bits)))
     member = distinct.join(roots, distinct["bits"] == roots["node"]).select("bits", "root", "first_id")
     least = member.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = member.join(least, "root").select(F.col("bits").alias("linked"), "least_id")
+    linked = member.join(least, "root").select(F.col("bits").alias("linked"), "root", "least_id")
     return distinct.join(linked, distinct["bits"] == linked["linked"], "left").select(
         "bits",
+        F.coalesce("root", "bits").alias("group"),
         F.when(F.col("linked").isNull(), F.col("first_id"))
         .otherwise(F.col("least_id"))
         .alias("component_id"),
@@ -195,7 +199,7 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id.
 
-    Rows of that id with different texts are told apart by the hash of the text, and of
+    Rows of one id with different texts are told apart by the hash of the text, and of
     equal rows one stays.  A null id stays only where the whole component has null ids.
     """
     mark = free_name(docs, "text_hash")
@@ -209,11 +213,9 @@ def keep_one(
     )
     classes = fingerprint_classes(prints, "bits", "doc_id", max_bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    # The component's id and, for a component without ids, its fingerprint name the group.
     chosen = (
         prints.join(classes, "bits")
-        .withColumn("lone", F.when(F.col("component_id").isNull(), F.col("bits")))
-        .groupBy("component_id", "lone")
+        .groupBy("group")
         .agg(first.alias("first"))
         .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
     )
