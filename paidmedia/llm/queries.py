@@ -126,7 +126,7 @@ def oracle_sql() -> dict[str, str]:
         "op9_line_dedup": rf"""
             WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents),
             lines AS (
-                SELECT rid, source, unnest(generate_series(1, len(string_split(text, chr(10))))) AS at,
+                SELECT rid, source, unnest(generate_series(1, len(string_split(text, chr(10))))) AS place,
                     unnest(string_split(text, chr(10))) AS line
                 FROM docs WHERE text IS NOT NULL),
             seen AS (
@@ -137,10 +137,10 @@ def oracle_sql() -> dict[str, str]:
                 SELECT source, bare FROM seen JOIN pages USING (source)
                 WHERE bare <> '' AND n >= {line_dedup.MIN_PAGES} AND n > {line_dedup.RATIO} * pages),
             judged AS (
-                SELECT l.rid, l.at, l.line, b.bare IS NOT NULL AS gone FROM lines l LEFT JOIN boiler b
+                SELECT l.rid, l.place, l.line, b.bare IS NOT NULL AS gone FROM lines l LEFT JOIN boiler b
                 ON l.source = b.source AND trim(l.line, ' ' || chr(9) || chr(13)) = b.bare),
             rebuilt AS (
-                SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS text,
+                SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text,
                     count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped
                 FROM judged GROUP BY rid)
             SELECT doc_id, source, r.text AS text, n_lines::INT AS n_lines,
