@@ -1,10 +1,8 @@
 """Ordered computations that stay distributed when one group is huge.
 
-A plain window sends each group to one task.  The functions here first measure
-the input, and its largest group if the input is large.  Up to ``group_limit``
-rows they use the plain window (one shuffle).  Beyond it they range-partition by
-group *and* order, so that a hot group is spread over many slices, scan each slice
-on its own and add the totals of the earlier slices.  Both ways give the same rows.
+A plain window sends each group to one task.  The functions here range-partition by
+group *and* order, so that a hot group is spread over many slices, scan each slice on
+its own and add the totals of the earlier slices.  There is one plan for every size.
 """
 
 from __future__ import annotations
@@ -16,21 +14,11 @@ from pyspark.sql import functions as F
 
 from paidmedia.sources.store import materialise
 
-GROUP_LIMIT = 2_000_000
-
 # More slices than shuffle partitions: the slices of a hot group are hashed to
 # partitions later, and small ones spread more evenly.
 SLICES_PER_PARTITION = 4
 
 
-def groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether no group has more than ``limit`` rows; the count alone settles small inputs."""
-    if df.count() <= limit:
-        return True
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] <= limit
-
-
 def same(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of the keys of two aliased DataFrames."""
     cond = F.lit(True)
@@ -44,38 +32,13 @@ def running_totals(
     keys: Sequence[str],
     order: Sequence[str],
     running: Mapping[str, str],
-    group_limit: int = GROUP_LIMIT,
     slices: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums: ``running`` maps a new column to its source.
 
-    ``order`` has to be a total order within each group.
+    ``order`` has to be a total order within each group.  As in a window, a NULL source
+    adds nothing, and a sum is NULL until the first value.
     """
-    if groups_fit(df, keys, group_limit):
-        return _plain(df, keys, order, running)
-    return _sliced(df, keys, order, running, slices)
-
-
-def _upto(keys: Sequence, order: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-
-
-def _plain(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], running: Mapping[str, str]
-) -> DataFrame:
-    w = _upto(keys, order)
-    return df.select("*", *[F.sum(src).over(w).alias(new) for new, src in running.items()])
-
-
-def _sliced(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    running: Mapping[str, str],
-    slices: int | None,
-) -> DataFrame:
     if slices is None:
         slices = SLICES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(slices, *keys, *order)
@@ -93,18 +56,24 @@ def _sliced(
     offsets = per_slice.select(
         *keys,
         "_slice",
-        *[F.coalesce(F.sum(f"_{new}").over(earlier), F.lit(0)).alias(f"_{new}") for new in running],
+        *[F.sum(f"_{new}").over(earlier).alias(f"_{new}") for new in running],
+    )
+    w = (
+        Window.partitionBy(*[f"s.{k}" for k in [*keys, "_slice"]])
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    w = _upto([f"s.{k}" for k in [*keys, "_slice"]], order)
+
+    def upto(new: str, src: str) -> Column:
+        here, before = F.sum(f"s.{src}").over(w), F.col(f"o._{new}")
+        return F.coalesce(here + before, here, before).alias(new)
+
     return (
         sliced.alias("s")
         .join(offsets.alias("o"), same("s", "o", [*keys, "_slice"]))
         .select(
             *[F.col(f"s.{c}") for c in df.columns],
-            *[
-                (F.sum(f"s.{src}").over(w) + F.col(f"o._{new}")).alias(new)
-                for new, src in running.items()
-            ],
+            *[upto(new, src) for new, src in running.items()],
         )
     )
 
@@ -115,15 +84,10 @@ def bucketed(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    group_limit: int = GROUP_LIMIT,
     slices: int | None = None,
 ) -> DataFrame:
     """NTILE: ``buckets`` equal-sized buckets per group, the first ones larger by one."""
-    if groups_fit(df, keys, group_limit):
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.ntile(buckets).over(w))
-
-    numbered = _sliced(
+    numbered = running_totals(
         df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, {"_position": "_one"}, slices
     )
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
@@ -140,34 +104,30 @@ def bucketed(
     )
 
 
+def value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, _n): how often each non-NULL value occurs, written once."""
+    return materialise(
+        df.filter(F.col(value).isNotNull())
+        .groupBy(key, value)
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "counts",
+    )
+
+
 def quantiles(
-    df: DataFrame,
+    counts: DataFrame,
     key: str,
     value: str,
     probabilities: Mapping[str, float],
-    group_limit: int = GROUP_LIMIT,
     slices: int | None = None,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles of ``value`` per ``key``.
+    """Exact linearly interpolated quantiles of ``value`` per ``key`` from ``value_counts``.
 
-    Equal values are counted before anything is ordered, and the order
-    statistics are looked up in the running counts; no group is collected.
+    The order statistics are looked up in the running counts; no group is collected.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(key, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    if df.count() <= group_limit:
-        size = F.sum("_n").over(Window.partitionBy(key))
-        joined = _plain(counts, [key], [value], {"_upto": "_n"}).withColumn("_size", size)
-    else:
-        counts = materialise(counts, "counts")
-        placed = running_totals(counts, [key], [value], {"_upto": "_n"}, group_limit, slices)
-        sizes = counts.groupBy(key).agg(F.sum("_n").alias("_size"))
-        joined = placed.alias("s").join(sizes.alias("o"), same("s", "o", [key])).select(
-            "s.*", "_size"
-        )
+    placed = running_totals(counts, [key], [value], {"_upto": "_n"}, slices)
+    sizes = counts.groupBy(key).agg(F.sum("_n").alias("_size"))
+    joined = placed.alias("s").join(sizes.alias("o"), same("s", "o", [key])).select("s.*", "_size")
 
     def at(index: Column) -> Column:
         holds = (F.col("_upto") - F.col("_n") <= index) & (index < F.col("_upto"))

@@ -1,7 +1,7 @@
 """Batch jobs for spark-submit.
 
     spark-submit paidmedia/jobs.py enrich RAW_CSV OUT [--format parquet|csv]
-    spark-submit paidmedia/jobs.py summary ENRICHED OUT
+    spark-submit paidmedia/jobs.py summary ENRICHED OUT [--format parquet|csv]
     spark-submit paidmedia/jobs.py report NAME FOLDER OUT
 
 ``--shuffle-gb`` before the job's name sizes shuffle partitions for the largest shuffle.
@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from paidmedia.operators import enrich, performance  # noqa: E402
 from paidmedia.plans import catalog  # noqa: E402
 from paidmedia.session import session  # noqa: E402
-from paidmedia.sources import files  # noqa: E402
+from paidmedia.sources import files, schema  # noqa: E402
 
 
 def run_enrich(spark: SparkSession, source: str, target: str, kind: str = "parquet") -> None:
@@ -32,9 +32,13 @@ def run_enrich(spark: SparkSession, source: str, target: str, kind: str = "parqu
         files.write_enriched(table, target)
 
 
-def run_summary(spark: SparkSession, source: str, target: str) -> None:
-    """Summary report of an enriched table as CSV."""
-    files.write_csv(performance.summary_report(files.load_enriched(spark, source)), target)
+def run_summary(spark: SparkSession, source: str, target: str, kind: str = "parquet") -> None:
+    """Summary report of an enriched table, Parquet or CSV, as CSV."""
+    if kind == "csv":
+        table = files.load_csv(spark, source, schema.ENRICHED)
+    else:
+        table = files.load_enriched(spark, source)
+    files.write_csv(performance.summary_report(table), target)
 
 
 def run_report(spark: SparkSession, name: str, folder: str, target: str) -> None:
@@ -53,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("summary")
     job.add_argument("source")
     job.add_argument("target")
+    job.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     job = jobs.add_parser("report")
     job.add_argument("name", choices=sorted(catalog.queries()))
     job.add_argument("folder")
@@ -64,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "enrich":
         run_enrich(spark, args.source, args.target, args.format)
     elif args.job == "summary":
-        run_summary(spark, args.source, args.target)
+        run_summary(spark, args.source, args.target, args.format)
     else:
         run_report(spark, args.name, args.folder, args.target)
 

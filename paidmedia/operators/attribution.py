@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from paidmedia.functions.exprs import double, paid, ratio, rounded, totals
 from paidmedia.sources import dimensions, schema
+from paidmedia.sources.store import materialise
 
 # Labels of the reports.
 UNDERVALUED, OVERVALUED, NEUTRAL = (
@@ -119,13 +120,22 @@ def attribution_summary(fact: DataFrame, journeys: DataFrame | None = None) -> D
 def row_attribution(fact: DataFrame, credits: DataFrame) -> DataFrame:
     """Spread the credits over rows in proportion to their revenue.
 
-    ``credits`` has one row per listed channel, which bounds the broadcast; the fact
-    is not shuffled.  Rows of other channels get 0.
+    The credits are written before the join, so Spark knows their size and broadcasts
+    them if it is small; the fact is then not shuffled.  Credits of a channel that is
+    listed twice add up.  Rows of other channels get 0.
     """
-    factors = credits.select(
-        "channel",
-        ratio("lastclick_credit", "channel_revenue").alias("_lc"),
-        ratio("shapley_credit", "channel_revenue").alias("_sv"),
+    per_channel = credits.groupBy("channel").agg(
+        F.max("channel_revenue").alias("channel_revenue"),
+        F.sum("lastclick_credit").alias("lastclick_credit"),
+        F.sum("shapley_credit").alias("shapley_credit"),
+    )
+    factors = materialise(
+        per_channel.select(
+            "channel",
+            ratio("lastclick_credit", "channel_revenue").alias("_lc"),
+            ratio("shapley_credit", "channel_revenue").alias("_sv"),
+        ).coalesce(1),
+        "credits",
     )
 
     def spread(factor: str) -> Column:
@@ -133,7 +143,7 @@ def row_attribution(fact: DataFrame, credits: DataFrame) -> DataFrame:
 
     lc, sv = F.col("revenue_lastclick"), F.col("revenue_shapley")
     return (
-        fact.join(F.broadcast(factors), "channel", "left")
+        fact.join(factors, "channel", "left")
         .withColumns({"revenue_lastclick": spread("_lc"), "revenue_shapley": spread("_sv")})
         .withColumn("shapley_vs_lc_delta_pct", _delta_pct(sv, lc, F.lit(0.0)))
         .select(
@@ -196,7 +206,7 @@ def attribution_compare(
 ) -> DataFrame:
     """Attributed columns summed by channel; the delta is NULL without last-click revenue.
 
-    Row credits are summed at twelve digits after the point, so the sum does not
+    Row credits are summed at eight digits after the point, so the sum does not
     depend on the order of rows.
     """
     sums = (

@@ -59,7 +59,8 @@ def customer_ltv_90d(orders: DataFrame, days: int = 90) -> DataFrame:
     touches = order_touches(orders, F.col("o_totalprice").cast("decimal(12,2)").alias("value"))
     # A number instead of the name keeps min_by in a hash aggregate.
     number = choose(F.col("channel"), {c: i for i, c in enumerate(schema.CHANNELS, 1)})
-    name = F.element_at(F.array(*[F.lit(c) for c in schema.CHANNELS]), F.col("first_channel"))
+    # get() gives NULL for the NULL number of an unlisted priority.
+    name = F.get(F.array(*[F.lit(c) for c in schema.CHANNELS]), F.col("first_channel") - 1)
     daily = touches.groupBy("o_custkey", "date").agg(
         F.min_by(number, "o_orderkey").alias("channel"),
         F.count(F.lit(1)).alias("orders"),

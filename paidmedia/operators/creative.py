@@ -17,7 +17,7 @@ from paidmedia.functions.exprs import (
     totals,
     with_spend,
 )
-from paidmedia.functions.scans import GROUP_LIMIT, bucketed
+from paidmedia.functions.scans import bucketed
 from paidmedia.sources import schema
 
 # Labels of the reports.
@@ -34,7 +34,6 @@ def creative_fatigue_curve(
     fact: DataFrame,
     min_rows: int = 10,
     details: bool = False,
-    group_limit: int = GROUP_LIMIT,
     slices: int | None = None,
 ) -> DataFrame:
     """ROAS by spend quartile of each creative.
@@ -63,7 +62,6 @@ def creative_fatigue_curve(
         ["creative_type"],
         ["spend_gbp", "date", "channel", "campaign_type"],
         "spend_quartile",
-        group_limit,
         slices,
     )
     curve = (
@@ -81,8 +79,8 @@ def creative_fatigue_curve(
         .filter(F.col("row_count") > min_rows)
         .withColumn("pooled_roas", rounded("pooled", 3))
     )
-    label = F.element_at(
-        F.array(*[F.lit(x) for x in QUARTILE_LABELS]), F.col("spend_quartile").cast("int")
+    label = F.get(
+        F.array(*[F.lit(x) for x in QUARTILE_LABELS]), F.col("spend_quartile").cast("int") - 1
     )
     before = Window.partitionBy("creative_type").orderBy("spend_quartile")
     columns: list = [
@@ -140,9 +138,17 @@ def _cells(fact: DataFrame) -> DataFrame:
 
 
 def _matrix(fact: DataFrame, channels: Sequence[str]) -> DataFrame:
-    """Wide form; naming the columns up front saves the pass that would find them."""
+    """Wide form of the listed channels; it fails on any other, which the long form has.
+
+    Naming the columns up front saves the pass that would find them.
+    """
+    other = F.concat(F.lit("channel not among the columns: "), F.col("channel"))
+    listed = F.when(F.col("channel").isin(list(channels)), F.col("channel")).otherwise(
+        F.raise_error(F.coalesce(other, F.lit("rows without a channel")))
+    )
     return (
         _cells(fact)
+        .withColumn("channel", listed.cast("string"))
         .groupBy("creative_type")
         .pivot("channel", list(channels))
         .agg(F.first("ROAS"))
@@ -150,6 +156,26 @@ def _matrix(fact: DataFrame, channels: Sequence[str]) -> DataFrame:
     )
 
 
+def _long(cells: DataFrame) -> DataFrame:
+    return cells.select(
+        "creative_type",
+        "channel",
+        double("spend").alias("spend"),
+        double("revenue").alias("revenue"),
+        "ROAS",
+    ).orderBy("creative_type", "channel")
+
+
+def roas_cells(fact: DataFrame) -> DataFrame:
+    """ROAS of every creative and channel present, over rows with spend."""
+    return _long(_cells(with_spend(fact)))
+
+
+def creative_cells(fact: DataFrame) -> DataFrame:
+    """ROAS of every creative and paid channel present, with or without spend."""
+    return _long(_cells(paid(fact)))
+
+
 def roas_matrix(fact: DataFrame, channels: Sequence[str] = schema.PAID_CHANNELS) -> DataFrame:
     """Creative x channel ROAS over rows with spend."""
     return _matrix(with_spend(fact), channels)

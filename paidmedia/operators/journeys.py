@@ -1,9 +1,10 @@
 """Customer journeys: touches before a conversion, their paths and their credit.
 
 A journey table has one row per conversion with at least one touch before it.
-Its ``path`` lists the distinct channels in the order of their first touch, so
-its length is bounded by the number of channels however long the journey was;
-every single touch is in ``journey_touches``.
+Its ``channels`` list the distinct channels in the order of their first touch, so the
+list is bounded by the number of channels however long the journey was.  Every single
+touch, and with it the whole path, is in ``journey_touches``; whole paths are compared
+by a fingerprint, never gathered into a row.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def build_journeys(numbered: DataFrame) -> DataFrame:
             "revenue",
             "touches",
             "last_touch",
-            F.transform("steps", lambda s: s["channel"]).alias("path"),
+            F.transform("steps", lambda s: s["channel"]).alias("channels"),
             F.element_at("steps", 1)["channel"].alias("first_channel"),
             "last_channel",
         )
@@ -67,10 +68,10 @@ def journey_report(journeys: DataFrame) -> DataFrame:
         "journey_no",
         double("revenue").alias("revenue"),
         "touches",
-        F.size("path").alias("distinct_channels"),
+        F.size("channels").alias("distinct_channels"),
         "first_channel",
         "last_channel",
-        F.array_join("path", PATH_SEPARATOR).alias("path"),
+        F.array_join("channels", PATH_SEPARATOR).alias("channel_order"),
     )
 
 
@@ -98,44 +99,88 @@ def equal_split_weights(journeys: DataFrame) -> DataFrame:
     """Weight of each distinct channel of each journey; weights of a journey sum to 1."""
     return journeys.select(
         "conversion_id",
-        F.explode("path").alias("channel"),
-        (F.lit(1.0) / F.size("path")).alias("weight"),
+        F.explode("channels").alias("channel"),
+        (F.lit(1.0) / F.size("channels")).alias("weight"),
     )
 
 
-def path_frequency(journeys: DataFrame) -> DataFrame:
-    """Paths by how often they lead to a conversion, and what they bring.
+def _share_of_journeys(paths: DataFrame) -> DataFrame:
+    """Revenue as DOUBLE and the share of all journeys; the window runs over paths."""
+    every = Window.partitionBy()
+    kept = [c for c in paths.columns if c not in ("journeys", "revenue")]
+    return paths.withColumn("all_journeys", F.sum("journeys").over(every)).select(
+        *kept,
+        "journeys",
+        double("revenue").alias("revenue"),
+        rounded(ratio("journeys", "all_journeys") * 100, 2).alias("share_pct"),
+    )
 
-    The window runs over paths, of which there are as many as orderings of channels.
+
+def path_of_journey(touches: DataFrame) -> DataFrame:
+    """(conversion_id, path_a, path_b): an order-sensitive fingerprint of each whole path.
+
+    Two 64-bit hashes of (position, channel), each summed over the touches: partial sums
+    combine before the shuffle, and a journey of any length is one row.
     """
-    every = Window.partitionBy()
+    parts = [
+        F.sum(F.xxhash64(F.lit(seed), "position", "channel").cast("decimal(20,0)")).alias(name)
+        for seed, name in ((1, "path_a"), (2, "path_b"))
+    ]
+    return touches.groupBy("conversion_id").agg(*parts)
+
+
+def _paths(journeys: DataFrame, touches: DataFrame) -> DataFrame:
+    """Distinct whole paths; the smallest conversion of each stands for it."""
     return (
-        journeys.groupBy(
-            F.array_join("path", PATH_SEPARATOR).alias("path"), "first_channel", "last_channel"
-        )
-        .agg(F.count(F.lit(1)).alias("journeys"), F.sum("revenue").alias("revenue"))
-        .withColumn("all_journeys", F.sum("journeys").over(every))
-        .select(
-            "path",
-            "first_channel",
-            "last_channel",
-            "journeys",
-            double("revenue").alias("revenue"),
-            rounded(ratio("journeys", "all_journeys") * 100, 2).alias("share_pct"),
+        journeys.join(path_of_journey(touches), "conversion_id")
+        .groupBy("path_a", "path_b", "touches", "first_channel", "last_channel")
+        .agg(
+            F.min("conversion_id").alias("example_conversion_id"),
+            F.count(F.lit(1)).alias("journeys"),
+            F.sum("revenue").alias("revenue"),
         )
-        .orderBy(F.desc("journeys"), "path", "last_channel")
+        .drop("path_a", "path_b")
     )
 
 
+def path_frequency(journeys: DataFrame, touches: DataFrame) -> DataFrame:
+    """Whole ordered paths by how often they lead to a conversion, and what they bring.
+
+    A path is named by its smallest conversion; ``path_steps`` has its touches.
+    """
+    return _share_of_journeys(_paths(journeys, touches)).orderBy(
+        F.desc("journeys"), "example_conversion_id"
+    )
+
+
+def path_steps(journeys: DataFrame, touches: DataFrame) -> DataFrame:
+    """The touches of each distinct path, one row each."""
+    named = _paths(journeys, touches).select("example_conversion_id")
+    return touches.join(named, F.col("conversion_id") == F.col("example_conversion_id")).select(
+        "example_conversion_id", "position", "channel"
+    )
+
+
+def channel_order_frequency(journeys: DataFrame) -> DataFrame:
+    """Journeys by the order in which their distinct channels came first."""
+    orders = journeys.groupBy(
+        F.array_join("channels", PATH_SEPARATOR).alias("channel_order"),
+        "first_channel",
+        "last_channel",
+    ).agg(F.count(F.lit(1)).alias("journeys"), F.sum("revenue").alias("revenue"))
+    return _share_of_journeys(orders).orderBy(F.desc("journeys"), "channel_order", "last_channel")
+
+
 def journey_credit(journeys: DataFrame) -> DataFrame:
     """Last-click and equal-split revenue per channel over real journeys.
 
-    Revenue is summed per channel and path length before it is divided, so the split
-    loses nothing to rounding below the tenth digit.
+    Revenue is summed per channel and number of channels before it is divided, so the
+    split loses nothing to rounding below the tenth digit.  The four named channels are
+    always listed, and the unknown one where it has credit, so that credit sums to revenue.
     """
-    length = F.size("path")
+    length = F.size("channels")
     touched = journeys.select(
-        F.explode("path").alias("channel"), length.alias("n"), "revenue", "last_channel"
+        F.explode("channels").alias("channel"), length.alias("n"), "revenue", "last_channel"
     )
     last = F.col("channel") == F.col("last_channel")
     per_length = touched.groupBy("channel", "n").agg(
@@ -151,7 +196,7 @@ def journey_credit(journeys: DataFrame) -> DataFrame:
     named = dimensions.channels(journeys.sparkSession, EVENT_CHANNELS)
     lc, sv = F.col("last_click_revenue"), F.col("shapley_revenue")
     return (
-        named.join(credit, "channel", "left")
+        named.join(credit, "channel", "full")
         .select(
             "channel",
             F.coalesce("journeys", F.lit(0)).cast("bigint").alias("journeys"),
@@ -168,7 +213,7 @@ def shapley_exact(journeys: DataFrame) -> DataFrame:
     The game is a sum of unanimity games, one per distinct set of channels, so its
     value is the equal split of each set's revenue: no coalition is enumerated.
     """
-    sets = journeys.groupBy(F.array_sort("path").alias("members")).agg(
+    sets = journeys.groupBy(F.array_sort("channels").alias("members")).agg(
         F.sum("revenue").alias("worth")
     )
     value = sets.select(

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paidmedia.functions.exprs import EXACT, mean, ratio, rounded
-from paidmedia.functions.scans import GROUP_LIMIT, quantiles
+from paidmedia.functions.exprs import EXACT, double, ratio, rounded
+from paidmedia.functions.scans import quantiles, same, value_counts
 
 DESCRIBED = ["spend_gbp", "revenue_gbp", "ROAS", "CAC", "CTR", "Repeat_Rate"]
 
@@ -45,27 +45,41 @@ def profile_overview(fact: DataFrame) -> DataFrame:
 
 
 def describe_metrics(
-    df: DataFrame,
-    columns: Sequence[str] = DESCRIBED,
-    group_limit: int = GROUP_LIMIT,
-    slices: int | None = None,
+    df: DataFrame, columns: Sequence[str] = DESCRIBED, slices: int | None = None
 ) -> DataFrame:
-    """count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
+    """count, mean, sample deviation, minimum, exact quartiles and maximum per column.
+
+    One pass counts the values of each column; everything else comes from the counts.
+    Sums of values and of their squares are DECIMAL, so they do not depend on order.
+    """
     listed = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {listed}) AS (metric, value)")
-    value = F.col("value").cast(EXACT)
-    spread = long.groupBy("metric").agg(
-        F.count("value").alias("count"),
-        mean(value).alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    counts = value_counts(long, "metric", "value")
+    n, value = F.col("_n"), F.col("value").cast(EXACT)
+    # Six digits, so that the sum of squares of amounts to the billion fits.
+    coarse = F.col("value").cast("decimal(16,6)")
+    squares = (coarse * coarse).cast("decimal(32,12)") * n.cast("decimal(12,0)")
+    spread = counts.groupBy("metric").agg(
+        F.sum("_n").alias("count"),
+        F.sum((value * n.cast("decimal(12,0)")).cast("decimal(38,10)")).alias("sum"),
+        F.sum(squares.cast("decimal(38,12)")).alias("squares"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = quantiles(
-        long, "metric", "value", {"p25": 0.25, "p50": 0.50, "p75": 0.75}, group_limit, slices
-    )
-    return spread.join(quartiles, "metric", "left").select(
-        "metric",
-        "count",
-        *[rounded(c, 3).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],
+    rest = double("squares") - double("sum") * double("sum") / F.col("count")
+    quartiles = quantiles(counts, "metric", "value", {"p25": 0.25, "p50": 0.50, "p75": 0.75}, slices)
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "metric string")
+    return (
+        every.alias("e")
+        .join(spread.alias("s"), same("e", "s", ["metric"]), "left")
+        .drop(F.col("s.metric"))
+        .withColumn("mean", ratio("sum", "count"))
+        .withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.greatest(rest, F.lit(0.0)) / (F.col("count") - 1))))
+        .withColumn("count", F.coalesce("count", F.lit(0)))
+        .join(quartiles, "metric", "left")
+        .select(
+            "metric",
+            "count",
+            *[rounded(c, 3).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],
+        )
     )

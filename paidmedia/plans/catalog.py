@@ -40,13 +40,24 @@ def on_fact(operator: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, folder: operator(fact_table(spark, folder), **options)
 
 
-def journey_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Journeys of a folder's event log, built once per application."""
+def numbered_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbered touchpoints of a folder's event log, built once per application."""
+    return derived(
+        spark,
+        f"numbered:{folder}",
+        [f"{folder}/events.parquet"],
+        lambda: numbered_touchpoints(touchpoints(raw(spark, folder, "events"))),
+    )
 
-    def build() -> DataFrame:
-        return journeys.build_journeys(numbered_touchpoints(touchpoints(raw(spark, folder, "events"))))
 
-    return derived(spark, f"journeys:{folder}", build)
+def journey_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Journeys of a folder's event log, built once per application."""
+    return derived(
+        spark,
+        f"journeys:{folder}",
+        [f"{folder}/events.parquet"],
+        lambda: journeys.build_journeys(numbered_table(spark, folder)),
+    )
 
 
 def on_journeys(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -54,8 +65,13 @@ def on_journeys(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _journey_touches(spark: SparkSession, folder: str) -> DataFrame:
-    numbered = numbered_touchpoints(touchpoints(raw(spark, folder, "events")))
-    return journeys.journey_touches(numbered, journey_table(spark, folder))
+    return journeys.journey_touches(numbered_table(spark, folder), journey_table(spark, folder))
+
+
+def on_paths(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: operator(
+        journey_table(spark, folder), _journey_touches(spark, folder)
+    )
 
 
 def _customer_ltv(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,6 +179,8 @@ def queries() -> dict[str, Query]:
         "creative_channel_rollup": on_fact(creative.creative_channel_rollup),
         "roas_matrix": on_fact(creative.roas_matrix),
         "creative_matrix": on_fact(creative.creative_matrix),
+        "roas_cells": on_fact(creative.roas_cells),
+        "creative_cells": on_fact(creative.creative_cells),
         "best_creative_per_channel": on_fact(creative.best_creative_per_channel),
         "best_creative": on_fact(creative.best_creative),
         "quarterly_creative_roas": on_fact(creative.quarterly_creative_roas),
@@ -201,7 +219,9 @@ def queries() -> dict[str, Query]:
         "build_journeys": on_journeys(journeys.journey_report),
         "journey_touches": _journey_touches,
         "equal_split_weights": on_journeys(journeys.equal_split_weights),
-        "path_frequency": on_journeys(journeys.path_frequency),
+        "path_frequency": on_paths(journeys.path_frequency),
+        "path_steps": on_paths(journeys.path_steps),
+        "channel_order_frequency": on_journeys(journeys.channel_order_frequency),
         "journey_credit": on_journeys(journeys.journey_credit),
         "shapley_exact": on_journeys(journeys.shapley_exact),
         # Rows, sources and sinks

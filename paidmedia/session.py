@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 # Bytes one shuffle or scan task should hold, so that it sorts in executor memory.
 TASK_BYTES = 200 * 1024 * 1024
 MIN_PARTITIONS = 200
+INITIAL_PARTITIONS = 2000
 
 
 def settings(shuffle_bytes: int) -> dict[str, str]:
@@ -30,8 +31,16 @@ def settings(shuffle_bytes: int) -> dict[str, str]:
 
 
 def session(app: str, shuffle_bytes: int | None = None) -> SparkSession:
-    """A session; a size given here decides over what spark-submit was told."""
+    """A session; a size given here decides over what spark-submit was told.
+
+    Without a size, shuffles start with many partitions and adaptive execution merges
+    those that small inputs leave.
+    """
     builder = SparkSession.builder.appName(app)
+    if shuffle_bytes is None:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(INITIAL_PARTITIONS)
+        )
     if shuffle_bytes is not None:
         for key, value in settings(shuffle_bytes).items():
             builder = builder.config(key, value)

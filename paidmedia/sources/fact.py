@@ -10,6 +10,8 @@ Shape of the job at scale:
   campaign and creative;
 * orders learn whether their customer is returning before that join, while rows are
   few and narrow; first touches are unique, so a hot customer's orders can be split;
+* an order without a customer, or of an unlisted priority, keeps its revenue: it counts
+  as neither a new nor a returning customer, or under channel NULL;
 * the joined rows are summed per (customer, date, channel, campaign, creative), and
   distinct orders and customers are plain counts on the way: no COUNT(DISTINCT), no
   Expand;
@@ -69,9 +71,10 @@ def order_touches(orders: DataFrame, *extra: Column) -> DataFrame:
 
 
 def first_touches(orders: DataFrame) -> DataFrame:
-    """First date of each customer on each channel."""
+    """First date of each known customer on each channel."""
     return (
         order_touches(orders)
+        .filter(F.col("o_custkey").isNotNull())
         .groupBy("o_custkey", "channel")
         .agg(F.min("date").alias("first_date"))
     )
@@ -97,12 +100,13 @@ def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataF
 
     sums = [F.sum(c).alias(c) for c in ("units", "price_e2", "discount_e4")]
     per_order = lines.groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums)
-    touches = (
-        order_touches(orders)
-        .join(first_touches(orders), ["o_custkey", "channel"])
-        .withColumn("returning", F.col("date") > F.col("first_date"))
-        .drop("first_date")
-    )
+    came, first = order_touches(orders).alias("t"), first_touches(orders).alias("f")
+    touches = came.join(
+        first,
+        (F.col("t.o_custkey") == F.col("f.o_custkey"))
+        & F.col("t.channel").eqNullSafe(F.col("f.channel")),
+        "left",
+    ).select("t.*", (F.col("date") > F.col("first_date")).alias("returning"))
     per_customer = (
         per_order.join(touches, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey", "returning", *schema.GRAIN)
@@ -151,22 +155,26 @@ def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The fact of a data folder, built once per application and then scanned.
+def laid_out(fact: DataFrame) -> DataFrame:
+    """Range-partitioned by the whole grain, date first: row-group statistics prune date
+    filters, and no date is too large for one partition."""
+    return fact.repartitionByRange(*schema.GRAIN).sortWithinPartitions(*schema.GRAIN)
 
-    Range-partitioned by the whole grain, date first: row-group statistics prune date
-    filters, and no date is too large for one partition.
-    """
+
+def fact_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of a data folder, built once per application and then scanned."""
 
     def build() -> DataFrame:
-        fact = build_fact(
-            raw(spark, folder, "orders"),
-            raw(spark, folder, "lineitem"),
-            raw(spark, folder, "part"),
+        return laid_out(
+            build_fact(
+                raw(spark, folder, "orders"),
+                raw(spark, folder, "lineitem"),
+                raw(spark, folder, "part"),
+            )
         )
-        return fact.repartitionByRange(*schema.GRAIN).sortWithinPartitions(*schema.GRAIN)
 
-    return derived(spark, f"fact:{folder}", build)
+    inputs = [f"{folder}/{t}.parquet" for t in ("orders", "lineitem", "part")]
+    return derived(spark, f"fact:{folder}", inputs, build)
 
 
 def register_fact_view(

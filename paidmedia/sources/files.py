@@ -6,14 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paidmedia.sources import schema
 
 
 def load_csv(spark: SparkSession, path: str, columns: StructType = schema.FACT) -> DataFrame:
-    """CSV with a header; types are declared, never inferred, so there is no extra pass."""
-    return spark.read.schema(columns).option("header", True).option("mode", "FAILFAST").csv(path)
+    """CSV with a header, read by name; types are declared, never inferred.
+
+    Columns may come in any order, and others are ignored.  A missing column is an error,
+    and so is a file whose header differs from that of the first.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in columns.fieldNames() if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    kinds = {f.name: f for f in columns.fields}
+    found = StructType([kinds.get(c, StructField(c, StringType(), True)) for c in header])
+    return (
+        spark.read.schema(found)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+        .select(*columns.fieldNames())
+    )
 
 
 def load_parquet(spark: SparkSession, path: str, columns: StructType = schema.FACT) -> DataFrame:

@@ -144,3 +144,16 @@ def test_enriched_table_has_26_columns_and_zero_policies(make_fact, rows):
         assert got[c] == 0.0
     assert got["Contribution_Margin_Proxy"] == 4.5
     assert (got["year"], got["month"], got["quarter"], got["week_number"]) == (2022, 1, 1, 1)
+
+
+def test_a_channel_with_two_credits_does_not_multiply_rows(spark, make_fact):
+    credits = spark.createDataFrame(
+        [("Meta", 300.0, 100.0, 50.0), ("Meta", 300.0, 20.0, 25.0)],
+        "channel string, channel_revenue double, lastclick_credit double, shapley_credit double",
+    )
+    from paidmedia.operators import attribution
+
+    got = attribution.row_attribution(make_fact({}, {"channel": "TikTok"}), credits).collect()
+    assert sorted((r["channel"], r["revenue_lastclick"], r["revenue_shapley"]) for r in got) == [
+        ("Meta", 120.0, 75.0), ("TikTok", 0.0, 0.0),
+    ]

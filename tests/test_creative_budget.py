@@ -13,7 +13,7 @@ def test_fatigue_curve_is_the_same_plain_and_sliced(spark):
 
     fact = fact_table(spark, f"{DATA}/sf0.01")
     plain = creative.creative_fatigue_curve(fact, details=True).collect()
-    sliced = creative.creative_fatigue_curve(fact, details=True, group_limit=0, slices=6).collect()
+    sliced = creative.creative_fatigue_curve(fact, details=True, slices=6).collect()
     assert plain == sliced
     assert len(plain) == 16
 
@@ -216,3 +216,14 @@ def test_channel_mix(make_fact, rows):
     assert (month["channel_mix"], month["days_in_month"]) == ("Meta > TikTok", 2)
     days = rows(cooccurrence.daily_active_channels(fact))
     assert [d["active_channel_path"] for d in days] == ["Meta > TikTok", "TikTok"]
+
+
+def test_wide_matrix_fails_on_a_channel_it_does_not_list(make_fact, rows):
+    table = make_fact({}, {"channel": "Snapchat"})
+    with pytest.raises(Exception, match="Snapchat"):
+        creative.roas_matrix(table).collect()
+    assert {r["channel"] for r in rows(creative.roas_cells(table))} == {"Meta", "Snapchat"}
+    assert {r["channel"] for r in rows(creative.creative_cells(table))} == {"Meta", "Snapchat"}
+    wide = creative.creative_matrix(table, ["Meta", "Snapchat"])
+    assert wide.columns == ["creative_type", "Meta", "Snapchat"]
+    assert wide.count() == 1

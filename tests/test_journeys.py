@@ -45,18 +45,17 @@ def replay(log):
     return done
 
 
-@pytest.fixture(scope="module", params=["plain", "sliced"])
+@pytest.fixture(scope="module", params=[1, 9])
 def numbered(spark, log, request):
     events = spark.createDataFrame(log, SCHEMA).repartition(3)
-    how = {"group_limit": 10**9} if request.param == "plain" else {"group_limit": 0, "slices": 9}
-    return numbered_touchpoints(touchpoints(events), **how)
+    return numbered_touchpoints(touchpoints(events), slices=request.param)
 
 
 def test_journeys(numbered, log, rows):
     got = {
         r["conversion_id"]: (
             r["customer_id"], r["journey_no"], r["revenue"], r["touches"],
-            r["first_channel"], r["last_channel"], r["path"],
+            r["first_channel"], r["last_channel"], r["channel_order"],
         )
         for r in rows(j.journey_report(j.build_journeys(numbered)))
     }
@@ -124,18 +123,57 @@ def test_channels_without_credit_stay(spark, rows):
     assert got["Meta"]["last_click_revenue"] == 8.0
     assert got["TikTok"]["journeys"] == 0
     assert got["TikTok"]["delta_pct"] is None
-    assert [r["path"] for r in rows(j.path_frequency(journeys))] == ["Meta"]
+    assert [r["channel_order"] for r in rows(j.channel_order_frequency(journeys))] == ["Meta"]
     assert [r["weight"] for r in rows(j.equal_split_weights(journeys))] == [1.0]
 
 
-def test_unreadable_props_leave_the_channel_unknown(spark, rows):
+def test_whole_paths(numbered, log, rows):
+    """Repeated touches and their order tell paths apart."""
+    journeys = j.build_journeys(numbered)
+    touches = j.journey_touches(numbered, journeys)
+    want = defaultdict(list)
+    for event, (_, _, value, steps) in replay(log).items():
+        want[tuple(c for _, c in steps)].append((event, value))
+    got = rows(j.path_frequency(journeys, touches), "example_conversion_id")
+    assert {min(e for e, _ in v) for v in want.values()} == set(got)
+    steps = defaultdict(dict)
+    for r in rows(j.path_steps(journeys, touches)):
+        steps[r["example_conversion_id"]][r["position"]] = r["channel"]
+    for path, members in want.items():
+        r = got[min(e for e, _ in members)]
+        assert (r["journeys"], r["touches"]) == (len(members), len(path))
+        assert (r["first_channel"], r["last_channel"]) == (path[0], path[-1])
+        assert r["revenue"] == pytest.approx(sum(v for _, v in members))
+        assert tuple(c for _, c in sorted(steps[r["example_conversion_id"]].items())) == path
+
+
+@pytest.mark.parametrize("codegen", ["CODEGEN_ONLY", "NO_CODEGEN"])
+@pytest.mark.parametrize("props", ["not json", "{}", None, '{"k": "x"}', '{"k": 99999999999}'])
+def test_unreadable_props_leave_the_channel_unknown(spark, rows, props, codegen, tmp_path):
     at = datetime.datetime(2024, 1, 1)
     log = [
-        (1, at, 5, "view", 0.0, "not json"),
-        (2, at + datetime.timedelta(1), 5, "view", 0.0, '{"k": 2}'),
+        (1, at, 5, "view", 0.0, '{"k": 2}'),
+        (2, at + datetime.timedelta(1), 5, "view", 0.0, props),
         (3, at + datetime.timedelta(2), 5, "purchase", 8.0, "{}"),
+        (4, at, None, "view", 0.0, '{"k": 1}'),
+        (5, at + datetime.timedelta(1), None, "purchase", 9.0, "{}"),
     ]
-    got = rows(j.journey_report(j.build_journeys(
-        numbered_touchpoints(touchpoints(spark.createDataFrame(log, SCHEMA))))))
-    assert got[0]["touches"] == 2
-    assert got[0]["last_channel"] == "YouTube"
+    path = str(tmp_path / "events")
+    spark.createDataFrame(log, SCHEMA).write.parquet(path)
+    spark.conf.set("spark.sql.codegen.factoryMode", codegen)
+    spark.conf.set("spark.sql.codegen.wholeStage", codegen == "CODEGEN_ONLY")
+    try:
+        numbered = numbered_touchpoints(touchpoints(spark.read.parquet(path)))
+        journeys = j.build_journeys(numbered)
+        got = rows(j.journey_report(journeys))
+        # Events without a customer are nobody's journey.
+        assert [r["conversion_id"] for r in got] == [3]
+        assert got[0]["touches"] == 2
+        assert (got[0]["channel_order"], got[0]["last_channel"]) == ("YouTube > Unknown", "Unknown")
+        credit = rows(j.journey_credit(journeys), "channel")
+        assert credit["Unknown"]["last_click_revenue"] == 8.0
+        assert sum(r["shapley_revenue"] for r in credit.values()) == pytest.approx(8.0)
+        assert [r["channel"] for r in rows(j.journey_touches(numbered, journeys))] is not None
+    finally:
+        spark.conf.unset("spark.sql.codegen.factoryMode")
+        spark.conf.unset("spark.sql.codegen.wholeStage")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paidmedia.functions import scans
 
-PLAIN, SLICED = {"group_limit": 10**9}, {"group_limit": 0, "slices": 7}
+ONE, SLICED = {"slices": 1}, {"slices": 7}
 
 
 @pytest.fixture(scope="module")
@@ -25,12 +25,7 @@ def frame(spark, data):
     return spark.createDataFrame(data, "k string, v int, id long, x long").repartition(5)
 
 
-def test_groups_fit(frame):
-    assert scans.groups_fit(frame, ["k"], 400)
-    assert not scans.groups_fit(frame, ["k"], 399)
-
-
-@pytest.mark.parametrize("how", [PLAIN, SLICED], ids=["plain", "sliced"])
+@pytest.mark.parametrize("how", [ONE, SLICED], ids=["one slice", "sliced"])
 def test_running_totals(frame, data, how):
     got = {
         r["id"]: (r["sx"], r["sid"])
@@ -46,7 +41,7 @@ def test_running_totals(frame, data, how):
     assert got == want
 
 
-@pytest.mark.parametrize("how", [PLAIN, SLICED], ids=["plain", "sliced"])
+@pytest.mark.parametrize("how", [ONE, SLICED], ids=["one slice", "sliced"])
 @pytest.mark.parametrize("buckets", [4, 7, 64])
 def test_bucketed(frame, data, how, buckets):
     got = {
@@ -63,6 +58,20 @@ def test_bucketed(frame, data, how, buckets):
     assert got == want
 
 
+def test_running_totals_of_null_values_are_those_of_a_window(spark):
+    """A sum is NULL until the first value and keeps its value over NULLs."""
+    from pyspark.sql import Window
+
+    rng = random.Random(1)
+    rows = [("hot" if i % 3 else "k", i, None if i < 20 or 40 < i < 70 else rng.randrange(9)) for i in range(100)]
+    rows += [("none", i, None) for i in range(100, 130)]
+    table = spark.createDataFrame(rows, "k string, id long, x long").repartition(3)
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r["id"]: r["s"] for r in table.withColumn("s", F.sum("x").over(w)).collect()}
+    got = scans.running_totals(table, ["k"], ["id"], {"s": "x"}, slices=7).collect()
+    assert {r["id"]: r["s"] for r in got} == want
+
+
 def test_bucket_sizes_differ_by_at_most_one(frame):
     sizes = (
         scans.bucketed(frame, 4, ["k"], ["v", "id"], "b", **SLICED)
@@ -74,10 +83,10 @@ def test_bucket_sizes_differ_by_at_most_one(frame):
     assert sizes.agg(F.max("gap")).first()[0] <= 1
 
 
-@pytest.mark.parametrize("how", [PLAIN, SLICED], ids=["plain", "sliced"])
+@pytest.mark.parametrize("how", [ONE, SLICED], ids=["one slice", "sliced"])
 def test_quantiles(frame, data, how):
     p = {"low": 0.0, "q1": 0.25, "median": 0.5, "q9": 0.9, "high": 1.0}
-    got = {r["k"]: r for r in scans.quantiles(frame, "k", "v", p, **how).collect()}
+    got = {r["k"]: r for r in scans.quantiles(scans.value_counts(frame, "k", "v"), "k", "v", p, **how).collect()}
     groups = defaultdict(list)
     for k, v, _, _ in data:
         groups[k].append(v)
@@ -102,4 +111,4 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], "k string, v int, id long, x long")
     assert scans.running_totals(empty, ["k"], ["v"], {"s": "x"}).count() == 0
     assert scans.bucketed(empty, 4, ["k"], ["v"], "b").count() == 0
-    assert scans.quantiles(empty, "k", "v", {"m": 0.5}).count() == 0
+    assert scans.quantiles(scans.value_counts(empty, "k", "v"), "k", "v", {"m": 0.5}).count() == 0
