@@ -65,6 +65,13 @@ def test_parts_are_balanced_and_cut_few_edges():
     assert (part[near] == part[:, None]).mean() > 0.7  # a random cut keeps a quarter
 
 
+def test_recall_where_the_parts_tell_little(spark):
+    """Vectors without clusters: many parts have to be visited, and they are."""
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 1, (4000, 32)).astype(np.float32))]
+    assert recall(search(spark, rows, every=40), brute(rows, 10, 40)) >= 0.9
+
+
 def test_blocks_of_a_hot_part_give_the_same(spark, monkeypatch):
     rows = clusters(400, 3) + [(1000 + i, [1.0] * 16) for i in range(200)]
     whole = search(spark, rows)
