@@ -6,6 +6,8 @@ which partitions arrive; DOUBLE appears only in the last projection.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +56,27 @@ def rounded_even(c: str | Column, digits: int) -> Column:
     return F.bround(col(c).cast("decimal(38,10)"), digits).cast("double")
 
 
+def _millionths(c: str | Column) -> Column:
+    return (col(c).cast("decimal(30,6)") * 1_000_000).cast("decimal(30,0)")
+
+
+def rounded_ratio(num: str | Column, den: str | Column, digits: int, times: int = 1) -> Column:
+    """num * times / den as DOUBLE, rounded once, half away from zero.
+
+    Both sides are whole millionths, so counts and amounts divide exactly and a quotient
+    just below a tie stays below it.  NULL where the denominator is zero.
+    """
+    n, d = _millionths(num), _millionths(den)
+    raised = F.abs(n) * F.lit(2 * times * 10**digits) + F.abs(d)
+    divisor = F.nullif(F.abs(d) * 2, F.lit(0))
+    # Without its remainder the division is exact; the div operator would stop at a long.
+    whole = ((raised - raised % divisor) / divisor).cast("decimal(28,0)")
+    signed = F.when((n < 0) != (d < 0), -whole).otherwise(whole)
+    return (signed * F.lit(Decimal(1).scaleb(-digits))).cast("double")
+
+
 def percent(num: str | Column, den: str | Column, digits: int) -> Column:
-    return rounded(ratio(num, den) * 100, digits)
+    return rounded_ratio(num, den, digits, 100)
 
 
 def mean(c: str | Column) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paidmedia.functions.exprs import double, paid, ratio, rounded, totals
+from paidmedia.functions.exprs import double, paid, ratio, rounded, rounded_ratio, totals
 from paidmedia.sources import dimensions, schema
 from paidmedia.sources.store import materialise
 
@@ -281,9 +281,9 @@ def attribution_own_revenue(
         rounded("lc", 0).alias("lc_revenue_gbp"),
         rounded("sv", 0).alias("sv_revenue_gbp"),
         rounded("delta", 0).alias("delta_gbp"),
-        rounded(ratio("delta", "lc") * 100, 1).alias("delta_pct"),
-        rounded(ratio("lc", "spend"), 3).alias("lc_roas"),
-        rounded(ratio("sv", "spend"), 3).alias("sv_roas"),
+        rounded_ratio("delta", "lc", 1, 100).alias("delta_pct"),
+        rounded_ratio("lc", "spend", 3).alias("lc_roas"),
+        rounded_ratio("sv", "spend", 3).alias("sv_roas"),
         F.when(F.col("delta") > 0, UNDERVALUED)
         .when(F.col("delta") < 0, OVERVALUED)
         .otherwise(NEUTRAL)

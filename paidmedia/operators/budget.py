@@ -13,6 +13,7 @@ from paidmedia.functions.exprs import (
     percent,
     ratio,
     rounded,
+    rounded_ratio,
     totals,
 )
 from paidmedia.sources import dimensions
@@ -31,8 +32,8 @@ def budget_efficiency_index(fact: DataFrame, budget: float = 100000) -> DataFram
     rows = totals(paid(fact), "channel").select(
         "channel",
         "spend",
-        rounded(ratio(margin("revenue", "spend"), "spend"), 4).cast("decimal(18,4)").alias("cm"),
-        rounded(ratio("revenue", "spend"), 3).alias("roas"),
+        rounded_ratio(margin("revenue", "spend"), "spend", 4).cast("decimal(18,4)").alias("cm"),
+        rounded_ratio("revenue", "spend", 3).alias("roas"),
     )
     low, high = F.min("cm").over(channels), F.max("cm").over(channels)
     scored = rows.withColumns(
@@ -82,7 +83,7 @@ def spend_cube(fact: DataFrame) -> DataFrame:
             F.col("campaign_label").alias("campaign_type"),
             rounded("spend_sum", 0).alias("spend"),
             rounded("revenue_sum", 0).alias("revenue"),
-            rounded(ratio(margin("revenue_sum", "spend_sum"), "spend_sum"), 3).alias("cm_per_gbp"),
+            rounded_ratio(margin("revenue_sum", "spend_sum"), "spend_sum", 3).alias("cm_per_gbp"),
         )
         .orderBy(F.asc_nulls_last("channel"), F.asc_nulls_last("campaign_type"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paidmedia.functions.exprs import double, month_index, month_start, paid, ratio, rounded
+from paidmedia.functions.exprs import double, month_index, month_start, paid, rounded, rounded_ratio
 from paidmedia.sources import schema
 from paidmedia.sources.fact import choose, order_touches
 
@@ -32,21 +32,20 @@ def ltv_cohort_90d(fact: DataFrame, months: int = 3) -> DataFrame:
                 F.sum("revenue").over(following), F.lit(0).cast("decimal(28,2)")
             ),
             "returning_90d": F.coalesce(F.sum("returning").over(following), F.lit(0)),
-            "cac": F.round(ratio("spend", "cohort_size").cast("decimal(38,10)"), 2),
+            "cac": rounded_ratio("spend", "cohort_size", 2).cast("decimal(28,2)"),
         }
     ).filter(F.col("cohort_size") > 0)
-    per_customer = ratio("revenue_90d", "cohort_size")
     return valued.select(
         "cohort_month",
         "channel",
         "cohort_size",
         double("cac").alias("cohort_cac"),
         rounded("revenue_90d", 2).alias("revenue_90d_gbp"),
-        rounded(per_customer, 2).alias("ltv_90d_per_customer"),
-        rounded(ratio("revenue_90d", "spend"), 3).alias("ltv_roas_90d"),
+        rounded_ratio("revenue_90d", "cohort_size", 2).alias("ltv_90d_per_customer"),
+        rounded_ratio("revenue_90d", "spend", 3).alias("ltv_roas_90d"),
         "returning_90d",
-        rounded(ratio("returning_90d", "cohort_size") * 100, 1).alias("return_rate_90d_pct"),
-        rounded(ratio(per_customer, "cac"), 2).alias("ltv_cac_ratio"),
+        rounded_ratio("returning_90d", "cohort_size", 1, 100).alias("return_rate_90d_pct"),
+        rounded_ratio("revenue_90d", F.col("cohort_size") * F.col("cac"), 2).alias("ltv_cac_ratio"),
     ).orderBy("cohort_month", "channel")
 
 
@@ -96,6 +95,6 @@ def customer_ltv_90d(orders: DataFrame, days: int = 90) -> DataFrame:
         "repeat_customers",
         "orders_90d",
         rounded("revenue", 2).alias("revenue_90d_gbp"),
-        rounded(ratio("revenue", "customers"), 2).alias("ltv_90d_per_customer"),
-        rounded(ratio("repeat_customers", "customers") * 100, 1).alias("repeat_rate_90d_pct"),
+        rounded_ratio("revenue", "customers", 2).alias("ltv_90d_per_customer"),
+        rounded_ratio("repeat_customers", "customers", 1, 100).alias("repeat_rate_90d_pct"),
     ).orderBy("cohort_month", "channel")

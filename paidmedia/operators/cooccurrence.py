@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paidmedia.functions.exprs import double, month_start, paid, ratio, rounded, with_spend
+from paidmedia.functions.exprs import double, month_start, paid, rounded, rounded_ratio, with_spend
 
 PATH_SEPARATOR = " > "
 EXACT_SUM = "decimal(38,2)"
@@ -96,7 +96,7 @@ def channel_pairs(fact: DataFrame, min_pairs: int = 30, details: bool = False) -
         "days_cooccurred",
         rounded("spend", 0).alias("combined_spend"),
         "combined_revenue",
-        rounded(ratio("revenue", "spend"), 3).alias("combined_roas"),
+        rounded_ratio("revenue", "spend", 3).alias("combined_roas"),
         F.rank()
         .over(Window.orderBy(F.desc_nulls_first("combined_revenue")))
         .cast("bigint")
@@ -133,7 +133,7 @@ def isolated_channel_days(
             double("spend").alias("spend"),
             double("revenue").alias("revenue"),
             "orders",
-            rounded(ratio("revenue", "spend"), 3).alias("roas"),
+            rounded_ratio("revenue", "spend", 3).alias("roas"),
         )
         .orderBy("date")
     )

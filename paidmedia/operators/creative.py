@@ -14,6 +14,7 @@ from paidmedia.functions.exprs import (
     paid,
     ratio,
     rounded,
+    rounded_ratio,
     totals,
     with_spend,
 )
@@ -51,7 +52,7 @@ def creative_fatigue_curve(
         "revenue_gbp",
         "orders",
         # Row ratios before the shuffle: there are more scan tasks than creatives.
-        F.round(ratio("revenue_gbp", "spend_gbp").cast("decimal(38,10)"), 3)
+        rounded_ratio("revenue_gbp", "spend_gbp", 3)
         .cast("decimal(18,3)")
         .alias("row_roas"),
         ratio("spend_gbp", "orders").cast(EXACT).alias("row_cpo"),
@@ -73,11 +74,10 @@ def creative_fatigue_curve(
             mean("spend_gbp").alias("avg_spend"),
             mean("row_roas").alias("avg_row_roas"),
             mean("row_cpo").alias("avg_row_cpo"),
-            ratio(F.sum("revenue_gbp"), F.sum("spend_gbp")).alias("pooled"),
+            rounded_ratio(F.sum("revenue_gbp"), F.sum("spend_gbp"), 3).alias("pooled_roas"),
             F.sum("orders").alias("orders"),
         )
         .filter(F.col("row_count") > min_rows)
-        .withColumn("pooled_roas", rounded("pooled", 3))
     )
     label = F.get(
         F.array(*[F.lit(x) for x in QUARTILE_LABELS]), F.col("spend_quartile").cast("int") - 1
@@ -98,7 +98,7 @@ def creative_fatigue_curve(
             double("lowest").alias("min_spend"),
             double("highest").alias("max_spend"),
             "row_count",
-            rounded(ratio("orders", "orders"), 3).alias("conversion_density"),
+            rounded_ratio("orders", "orders", 3).alias("conversion_density"),
         ]
     return curve.select(*columns).orderBy("creative_type", "spend_quartile")
 
@@ -127,7 +127,7 @@ def creative_channel_rollup(fact: DataFrame, min_spend: float = 1000) -> DataFra
             "rows",
             rounded("spend", 0).alias("total_spend"),
             rounded("revenue", 0).alias("total_revenue"),
-            rounded(ratio("revenue", "spend"), 3).alias("roas"),
+            rounded_ratio("revenue", "spend", 3).alias("roas"),
         )
         .orderBy(F.asc_nulls_last("creative_type"), F.asc_nulls_last("channel"))
     )
@@ -266,10 +266,10 @@ def cumulative_spend_fatigue(fact: DataFrame) -> DataFrame:
             "creative_type",
             "date",
             double("spend").alias("daily_spend"),
-            rounded(ratio("revenue", "spend"), 3).alias("daily_roas"),
+            rounded_ratio("revenue", "spend", 3).alias("daily_roas"),
             double("spend_so_far").alias("cumulative_spend"),
-            rounded(ratio("revenue_so_far", "spend_so_far"), 3).alias("cumulative_roas"),
-            rounded(ratio("spend_so_far", "all_spend") * 100, 1).alias("cumulative_spend_pct"),
+            rounded_ratio("revenue_so_far", "spend_so_far", 3).alias("cumulative_roas"),
+            rounded_ratio("spend_so_far", "all_spend", 1, 100).alias("cumulative_spend_pct"),
         )
         .orderBy("creative_type", "date")
     )

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paidmedia.functions.exprs import double, ratio, rounded
+from paidmedia.functions.exprs import double, percent, ratio, rounded
 from paidmedia.sources import dimensions
 from paidmedia.sources.touchpoints import EVENT_CHANNELS
 
@@ -112,7 +112,7 @@ def _share_of_journeys(paths: DataFrame) -> DataFrame:
         *kept,
         "journeys",
         double("revenue").alias("revenue"),
-        rounded(ratio("journeys", "all_journeys") * 100, 2).alias("share_pct"),
+        percent("journeys", "all_journeys", 2).alias("share_pct"),
     )
 
 

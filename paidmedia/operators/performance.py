@@ -14,6 +14,7 @@ from paidmedia.functions.exprs import (
     ratio,
     rounded,
     rounded_even,
+    rounded_ratio,
     totals,
     with_spend,
 )
@@ -45,11 +46,11 @@ def channel_performance(fact: DataFrame) -> DataFrame:
         percent("total_clicks", "total_impressions", 3).alias("blended_ctr_pct"),
         rounded("spend", 2).alias("total_spend_gbp"),
         rounded("revenue", 2).alias("total_revenue_gbp"),
-        rounded(ratio("revenue", "spend"), 3).alias("blended_roas"),
+        rounded_ratio("revenue", "spend", 3).alias("blended_roas"),
         "total_orders",
-        rounded(ratio("spend", "total_orders"), 2).alias("blended_cpo_gbp"),
+        rounded_ratio("spend", "total_orders", 2).alias("blended_cpo_gbp"),
         "total_new_customers",
-        rounded(ratio("spend", "total_new_customers"), 2).alias("blended_cac_gbp"),
+        rounded_ratio("spend", "total_new_customers", 2).alias("blended_cac_gbp"),
         rounded("aov", 2).alias("avg_aov_gbp"),
     ).orderBy(F.desc_nulls_first("blended_roas"))
 
@@ -72,7 +73,7 @@ def channel_share(fact: DataFrame) -> DataFrame:
             "channel",
             rounded("spend", 0).alias("spend_gbp"),
             rounded("revenue", 0).alias("revenue_gbp"),
-            rounded(ratio("revenue", "spend"), 2).alias("roas"),
+            rounded_ratio("revenue", "spend", 2).alias("roas"),
             percent("spend", "all_spend", 1).alias("spend_share_pct"),
             percent("revenue", "all_revenue", 1).alias("revenue_share_pct"),
         )
@@ -94,10 +95,10 @@ def repeat_rate_by_channel(
             F.col("new_customers").alias("total_new_customers"),
             F.col("returning_customers").alias("total_returning_customers"),
             F.col("customers").alias("total_customers"),
-            rounded(rate * 100, 2).alias("repeat_rate_pct"),
+            percent("returning_customers", "customers", 2).alias("repeat_rate_pct"),
             rounded("spend", 0).alias("total_spend_gbp"),
-            rounded(ratio("spend", "new_customers"), 2).alias("cac_gbp"),
-            rounded(ratio("revenue", "spend"), 3).alias("roas"),
+            rounded_ratio("spend", "new_customers", 2).alias("cac_gbp"),
+            rounded_ratio("revenue", "spend", 3).alias("roas"),
             F.when(rate >= high, HIGH_LOYALTY)
             .when(rate >= mid, MID_LOYALTY)
             .otherwise(LOW_LOYALTY)
@@ -119,7 +120,7 @@ def repeat_rate_by_campaign(fact: DataFrame, min_orders: int = 50) -> DataFrame:
             percent(
                 "returning_customers", F.col("new_customers") + F.col("returning_customers"), 1
             ).alias("repeat_rate_pct"),
-            rounded(ratio("revenue", "spend"), 2).alias("roas"),
+            rounded_ratio("revenue", "spend", 2).alias("roas"),
         )
         .orderBy("channel", F.desc_nulls_first("repeat_rate_pct"))
     )
@@ -169,7 +170,7 @@ def funnel_by_campaign(fact: DataFrame) -> DataFrame:
             "orders",
             percent("clicks", "impressions", 3).alias("ctr_pct"),
             percent("orders", "clicks", 3).alias("cvr_pct"),
-            rounded(ratio("revenue", "spend"), 2).alias("roas"),
+            rounded_ratio("revenue", "spend", 2).alias("roas"),
         )
         .orderBy("channel", F.desc_nulls_first("cvr_pct"))
     )

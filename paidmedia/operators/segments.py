@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paidmedia.functions.exprs import double, paid, percent, ratio, rounded, totals
+from paidmedia.functions.exprs import double, paid, percent, ratio, rounded, rounded_ratio, totals
 
 # Labels of the report.
 SCALE_UP, REDUCE, MAINTAIN = "Scale Up", "Reduce or Pause", "Maintain"
@@ -23,11 +23,11 @@ def top_segments(fact: DataFrame, above: float = 1.10, below: float = 0.90) -> D
         "campaign_type",
         "spend",
         "revenue",
-        rounded(ratio("revenue", "spend"), 3).alias("roas"),
+        rounded_ratio("revenue", "spend", 3).alias("roas"),
         percent("clicks", "impressions", 3).alias("ctr_pct"),
         percent("orders", "clicks", 3).alias("cvr_pct"),
-        rounded(ratio("spend", "orders"), 2).alias("cpo_gbp"),
-        rounded(ratio("spend", "new_customers"), 2).alias("cac_gbp"),
+        rounded_ratio("spend", "orders", 2).alias("cpo_gbp"),
+        rounded_ratio("spend", "new_customers", 2).alias("cac_gbp"),
     )
     exact = F.col("roas").cast("decimal(18,3)")
     scored = segments.withColumns(

@@ -17,6 +17,7 @@ from paidmedia.functions.exprs import (
     paid,
     ratio,
     rounded,
+    rounded_ratio,
     totals,
 )
 
@@ -58,7 +59,7 @@ def top_channels_monthly(fact: DataFrame, top: int = 3) -> DataFrame:
             "channel",
             F.col("new_customers").alias("total_new_customers"),
             double("spend").alias("total_spend"),
-            rounded(ratio("spend", "new_customers"), 2).alias("cac_gbp"),
+            rounded_ratio("spend", "new_customers", 2).alias("cac_gbp"),
             "rank_in_month",
             F.when(F.col("rank_in_month") == 1, TOP_CHANNEL).otherwise("").alias("top_channel_flag"),
         )
@@ -104,7 +105,7 @@ def _monthly_cac(fact: DataFrame) -> DataFrame:
         month_start().alias("month_start"),
         "channel",
     )
-    return months.withColumn("cac", _money(ratio("spend", "new_customers"), 2))
+    return months.withColumn("cac", _money(rounded_ratio("spend", "new_customers", 2), 2))
 
 
 def cac_monthly_trend(
@@ -123,7 +124,7 @@ def cac_monthly_trend(
         F.col("new_customers").alias("monthly_new_customers"),
         double("cac").alias("cac_gbp"),
         double("prev").alias("prev_month_cac"),
-        rounded(change * 100, 1).alias("cac_mom_change_pct"),
+        rounded_ratio(F.col("cac") - F.col("prev"), "prev", 1, 100).alias("cac_mom_change_pct"),
         F.when(rounded(change, 10) > spike, CAC_SPIKE)
         .when(rounded(change, 10) < fall, CAC_FELL)
         .otherwise(CAC_NORMAL)
@@ -149,7 +150,7 @@ def cac_rolling_3m(fact: DataFrame, months: int = 3) -> DataFrame:
             "month_start",
             "channel",
             double("cac").alias("cac_gbp"),
-            rounded(ratio(F.sum("cac").over(frame), F.count("cac").over(frame)), 2).alias(
+            rounded_ratio(F.sum("cac").over(frame), F.count("cac").over(frame), 2).alias(
                 "rolling_3m_avg_cac"
             ),
         )
@@ -163,8 +164,8 @@ def roas_yoy(fact: DataFrame, band: float = 5.0) -> DataFrame:
     in_year = Window.partitionBy("year").orderBy(F.desc_nulls_first("roas"))
     years = totals(paid(fact), F.year("date").alias("year"), "channel").withColumns(
         {
-            "roas": _money(ratio("revenue", "spend"), 3),
-            "cac": _money(ratio("spend", "new_customers"), 2),
+            "roas": _money(rounded_ratio("revenue", "spend", 3), 3),
+            "cac": _money(rounded_ratio("spend", "new_customers", 2), 2),
         }
     )
     compared = years.withColumns(
@@ -174,7 +175,7 @@ def roas_yoy(fact: DataFrame, band: float = 5.0) -> DataFrame:
             "prev_spend": F.lag("spend").over(over),
             "roas_rank_in_year": F.dense_rank().over(in_year).cast("bigint"),
         }
-    ).withColumn("roas_yoy_change_pct", rounded(_change("roas", "prev_roas") * 100, 1))
+    ).withColumn("roas_yoy_change_pct", rounded_ratio(F.col("roas") - F.col("prev_roas"), "prev_roas", 1, 100))
     change = F.col("roas_yoy_change_pct")
     return compared.select(
         "year",
@@ -184,8 +185,8 @@ def roas_yoy(fact: DataFrame, band: float = 5.0) -> DataFrame:
         double("roas").alias("annual_roas"),
         double("prev_roas").alias("prev_year_roas"),
         "roas_yoy_change_pct",
-        rounded(_change("cac", "prev_cac") * 100, 1).alias("cac_yoy_change_pct"),
-        rounded(_change("spend", "prev_spend") * 100, 1).alias("spend_yoy_growth_pct"),
+        rounded_ratio(F.col("cac") - F.col("prev_cac"), "prev_cac", 1, 100).alias("cac_yoy_change_pct"),
+        rounded_ratio(F.col("spend") - F.col("prev_spend"), "prev_spend", 1, 100).alias("spend_yoy_growth_pct"),
         "roas_rank_in_year",
         F.when(change.isNull(), BASELINE_YEAR)
         .when(change > band, IMPROVING)
