@@ -2,20 +2,24 @@
 
 A spaced seed is a fixed mask: it reads six of the next seven to ten words and ignores
 the others, so a substituted word under a gap does no harm.  With the four masks below
-any fifteen words of which three are substituted still have a hit.  Hashes of all masks
+any twelve words with two substitutions, and any fifteen with three, still have a hit.
+Items of six to eleven words have a shorter seed besides, three words long, which some
+third of such an item holds unless over a fifth of it is substituted.  Hashes of all masks
 at all places of the training texts are joined with those of the benchmark; around each
 hit the texts are compared word by word along the hit's diagonal, and an overlap counts
 if ``MIN_WORDS`` words or more (or the whole item, if it is shorter) agree in 80 % or more.
 
-The benchmark is the small side.  It is read in blocks of at most ``BLOCK_WORDS`` words,
-and each block is broadcast with its hash table, so memory is bounded whatever the
-benchmark's size; training texts are scanned once per group of blocks and never shuffled.
+The benchmark is the small side.  It is read in blocks of at most ``BLOCK_WORDS`` words (an
+item longer than that is a block of its own), and each block is broadcast with its hash
+table, so memory is bounded by a block or the longest item, whatever the benchmark's size.
+Training texts are never shuffled; ``overlaps`` scans them once per block, and
+``drop_contaminated`` once in all.
 Within a task the hash join is a bitmap lookup and a binary search over numpy arrays.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, A-Z lower-cased.
 Null and empty texts have no overlaps.  An item of fewer than six words has no seed and
-cannot be told from chance; it is not sought.  Equal benchmark texts count once, under their smallest id.  Repeated documents each have rows of their
-own.  An empty table on either side gives no overlaps.
+cannot be told from chance; it is not sought.  Equal benchmark texts count once, under
+their smallest id.  Repeated documents each have rows of their own.  An empty table on either side gives no overlaps.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ MASKS = [
     (0, 2, 3, 6, 7, 8),
     (0, 1, 5, 7, 8, 9),
 ]
+#: The further seed of items with SHORT_ITEM[0] to SHORT_ITEM[1] words.
+SHORT_MASK, SHORT_ITEM = (0, 1, 2), (6, 11)
 MIN_WORDS = 13
 SIMILARITY = 0.8
 BLOCK_WORDS = 400_000
@@ -52,6 +58,11 @@ def word_hashes(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
+def masks_for(n_words: int) -> list[tuple[int, ...]]:
+    """The seeds of an item of so many words."""
+    return [*MASKS, SHORT_MASK] if SHORT_ITEM[0] <= n_words <= SHORT_ITEM[1] else MASKS
+
+
 def seed_hashes(tokens: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     """One hash for each place where the whole mask fits."""
     places = len(tokens) - mask[-1]
@@ -71,9 +82,11 @@ class Block:
     def __init__(self, items: list[tuple[int | None, bytes]]) -> None:
         self.ids = [i for i, _ in items]
         self.tokens = [word_hashes(t) for _, t in items]
+        # Texts are hashed by the short seed only where an item has it.
+        self.masks = sorted({m for tokens in self.tokens for m in masks_for(len(tokens))})
         hashes, item, place = [], [], []
         for k, tokens in enumerate(self.tokens):
-            for mask in MASKS:
+            for mask in masks_for(len(tokens)):
                 h = seed_hashes(tokens, mask)
                 hashes.append(h)
                 item.append(np.full(len(h), k))
@@ -89,7 +102,7 @@ class Block:
     def hits(self, tokens: np.ndarray) -> set[tuple[int, int]]:
         """(item, diagonal) of every seed that a text shares with an item."""
         found: set[tuple[int, int]] = set()
-        for mask in MASKS:
+        for mask in self.masks:
             for at in range(0, len(tokens), SLICE):
                 h = seed_hashes(tokens[at : at + SLICE + mask[-1]], mask)
                 maybe = np.flatnonzero(self.table[h >> np.uint64(64 - TABLE_BITS)])

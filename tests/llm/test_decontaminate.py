@@ -28,6 +28,17 @@ def brute_longest(same, least):
     return best
 
 
+@pytest.mark.parametrize("n", range(6, 13))
+def test_short_items_with_a_fifth_substituted_are_found(n):
+    item = [b"w%d" % i for i in range(n)]
+    block = d.Block([(7, b" ".join(item))])
+    for gone in itertools.combinations(range(n), n // 5):
+        text = [b"x" if i in gone else w for i, w in enumerate(item)]
+        tokens = d.word_hashes(b" ".join([b"before"] * 20 + text + [b"after"] * 20))
+        assert 0 in block.overlaps(tokens)
+    assert not block.overlaps(d.word_hashes(b" ".join(item[:3] + [b"x"] * 20)))
+
+
 def test_longest_agreement():
     rng = np.random.default_rng(1)
     for _ in range(400):
