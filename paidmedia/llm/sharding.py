@@ -158,7 +158,8 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 1) -> DataFram
     row keeps its block and number; pass ids and digests, or texts if shards need them.
     """
     docs = docs.drop("shard", "slot")
-    block, row = free_name(docs, "block"), free_name(docs, "row")
+    names = ("block", "row", "_at", "_block", "_ends", "_bucket", "_before", "_within")
+    block, row, at, of_block, ends_of, bucket_of, before, within = (free_name(docs, n) for n in names)
     rows = freeze(
         docs.withColumns({block: F.spark_partition_id().cast("long"), row: F.monotonically_increasing_id()})
     )
@@ -168,11 +169,11 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 1) -> DataFram
     first = F.lit(0).cast("long")
     ends = freeze(
         matrix.select(
-            F.col("block").alias("_block"),
+            F.col("block").alias(of_block),
             F.transform(
                 "counts",
                 lambda c, i: F.aggregate(F.slice("counts", F.lit(1), i + 1), first, lambda s, x: s + x),
-            ).alias("_ends"),
+            ).alias(ends_of),
         )
     )
 
@@ -180,25 +181,25 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 1) -> DataFram
         order = F.xxhash64(F.lit(seed), F.lit(stage), F.col(row))
         return F.row_number().over(Window.partitionBy(*by).orderBy(order, row)).cast("long") - 1
 
-    local = rows.withColumn("_at", permuted(-1, block))
+    local = rows.withColumn(at, permuted(-1, block))
     placed = (
-        local.join(ends, local[block] == ends["_block"])
-        .withColumn("shard", F.size(F.filter("_ends", lambda end: end <= F.col("_at"))))
-        .drop("_at", "_block", "_ends")
+        local.join(ends, local[block] == ends[of_block])
+        .withColumn("shard", F.size(F.filter(ends_of, lambda end: end <= F.col(at))))
+        .drop(at, of_block, ends_of)
     )
     bits = max(0, math.ceil(math.log2(max(1, total / shards / BUCKET_ROWS))))
     order = F.xxhash64(F.lit(seed), F.lit(-2), F.col(row))
     bucket = F.shiftrightunsigned(order, 64 - bits) if bits else F.lit(0).cast("long")
-    placed = placed.withColumn("_bucket", bucket)
-    earlier = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn(bucket_of, bucket)
+    earlier = Window.partitionBy("shard").orderBy(bucket_of).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("shard", "_bucket")
+        placed.groupBy("shard", bucket_of)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("shard", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        .select("shard", bucket_of, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(before))
     )
     return (
-        placed.withColumn("_within", permuted(-2, "shard", "_bucket"))
-        .join(offsets, ["shard", "_bucket"])
-        .withColumn("slot", (F.col("_before") + F.col("_within")).cast("long"))
+        placed.withColumn(within, permuted(-2, "shard", bucket_of))
+        .join(offsets, ["shard", bucket_of])
+        .withColumn("slot", (F.col(before) + F.col(within)).cast("long"))
         .select(*docs.columns, "shard", "slot")
     )

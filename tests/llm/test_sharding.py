@@ -72,6 +72,16 @@ def test_sizes_and_slots(spark, n, parts):
     check(rows, n, 40)
 
 
+def test_columns_named_like_inner_ones(spark):
+    taken = ["_at", "_block", "_ends", "_bucket", "_before", "_within", "row"]
+    docs = spark.range(90).withColumns({n: F.col("id") + i for i, n in enumerate(taken)})
+    got = sharding.shuffle_into_shards(docs, 4)
+    assert got.columns == ["id", *taken, "shard", "slot"]
+    rows = got.collect()
+    check(rows, 90, 4)
+    assert all(r[n] == r["id"] + i for r in rows for i, n in enumerate(taken))
+
+
 def test_every_place_is_equally_likely(spark):
     docs = spark.range(40).repartition(3).cache()
     hits = np.zeros(4)
