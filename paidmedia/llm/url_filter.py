@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paidmedia.llm.common import free_name
+
 MAX_RULES = 200_000
 MAX_RULE_CHARS = 2_000
 
@@ -146,12 +148,13 @@ def judge(
             pa.struct([("rule", pa.string()), ("verdict", pa.string())]),
         )
 
-    judged = F.col("_judged")
+    mark = free_name(pages, "judged")
+    judged = F.col(mark)
     return (
         pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-        .withColumn("_judged", verdicts("host", "path"))
+        .withColumn(mark, verdicts("host", "path"))
         .withColumns({"rule": judged["rule"], "verdict": judged["verdict"]})
-        .drop("_judged")
+        .drop(mark)
     )
 
 
@@ -165,6 +168,7 @@ def judge_by_join(
     is compared in the join condition, and one aggregate keeps the longest.
     """
     located = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    j_host, j_path, j_rule, j_verdict = (free_name(pages, n) for n in ("j_host", "j_path", "j_rule", "j_verdict"))
     labels = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
@@ -193,22 +197,22 @@ def judge_by_join(
     depth = F.when(F.col("r_host") == "", 0).otherwise(F.size(F.split("r_host", r"\.")))
     best = (
         places.join(own, fits)
-        .groupBy(F.col("host").alias("j_host"), F.col("path").alias("j_path"))
+        .groupBy(F.col("host").alias(j_host), F.col("path").alias(j_path))
         .agg(
             F.max(
                 F.struct(depth.alias("depth"), F.length("r_path").alias("chars"), "r_verdict", "r_host", "r_path")
             ).alias("best")
         )
         .select(
-            "j_host",
-            "j_path",
-            F.concat("best.r_host", "best.r_path").alias("j_rule"),
-            F.col("best.r_verdict").alias("j_verdict"),
+            j_host,
+            j_path,
+            F.concat("best.r_host", "best.r_path").alias(j_rule),
+            F.col("best.r_verdict").alias(j_verdict),
         )
     )
     joined = located.join(
-        best, (located["host"] == best["j_host"]) & (located["path"] == best["j_path"]), "left"
+        best, (located["host"] == best[j_host]) & (located["path"] == best[j_path]), "left"
     )
     return joined.withColumns(
-        {"rule": F.col("j_rule"), "verdict": F.coalesce("j_verdict", F.lit(otherwise))}
-    ).drop("j_host", "j_path", "j_rule", "j_verdict")
+        {"rule": F.col(j_rule), "verdict": F.coalesce(j_verdict, F.lit(otherwise))}
+    ).drop(j_host, j_path, j_rule, j_verdict)

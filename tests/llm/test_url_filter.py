@@ -67,6 +67,23 @@ def test_same_as_scanning_the_rules(spark, urls, rules, joined, monkeypatch):
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(u, known, "block"), u
 
 
+@pytest.mark.parametrize("joined", [False, True], ids=["trie", "join"])
+def test_columns_named_like_inner_ones(spark, joined, monkeypatch):
+    if joined:
+        monkeypatch.setattr(url_filter, "MAX_RULES", -1)
+    taken = ["_judged", "judged", "j_host", "j_path", "j_rule", "j_verdict"]
+    pages = spark.createDataFrame(
+        [(1, "https://a.org/x", *taken), (2, None, *taken)],
+        "page_id long, url string, " + ", ".join(f"{n} string" for n in taken),
+    )
+    got = url_filter.judge(pages, url_filter.RULES).orderBy("page_id")
+    assert got.columns == ["page_id", "url", *taken, "host", "path", "rule", "verdict"]
+    first, second = got.collect()
+    assert (first["host"], first["rule"], first["verdict"]) == ("a.org", "org/", "allow")
+    assert (second["host"], second["rule"], second["verdict"]) == ("", None, "allow")
+    assert [first[n] for n in taken] == taken
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge(pages, url_filter.RULES).count() == 0
