@@ -15,9 +15,14 @@ and emits only those, whatever the corpus size.  The target labels are a bounded
 (``TARGET_ROWS`` ids), broadcast to the tasks; raw counts cover every document.  The
 sample's threshold is found by narrowing a histogram, so nothing is sorted or collected.
 
+How many rows are kept is estimated from all of them, as labels may cover some sources
+only: the labelled rows give a cut-off of the weight, with as many of them above it as are
+good, and every row of the table above it counts.  Rows the target model has learned from
+are weighed without their own n-grams there, so that they do not set the cut-off too high.
+
 Nulls: a null text counts as empty and has log weight zero; rows with a null id are scored
 like others.  Rows that tie with the last one sampled are all kept, so equal rows share
-their fate.  Empty tables give an empty result; without labelled rows all rows are kept.
+their fate.  Empty tables give an empty result; where no row is labelled all are kept.
 """
 
 from __future__ import annotations
@@ -66,9 +71,9 @@ def target_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> np.ndarray:
     return np.sort(np.array([r[0] for r in picked], np.int64))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> np.ndarray:
-    """For each bucket, the log of its probability in target text over that in raw text."""
-    good = docs.sparkSession.sparkContext.broadcast(target_ids(labels))
+def bucket_counts(docs: DataFrame, ids: np.ndarray, doc_id: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bucket occurs in raw text and in target text, that of ``ids``."""
+    good = docs.sparkSession.sparkContext.broadcast(ids)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -93,11 +98,20 @@ def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> np
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in counted.collect():  # one row per bucket at most
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
+    return raw, target
+
+
+def ratios_of(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     if not target.sum():
         return np.zeros(BUCKETS)
     return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
 
+def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> np.ndarray:
+    """For each bucket, the log of its probability in target text over that in raw text."""
+    return ratios_of(*bucket_counts(docs, target_ids(labels), doc_id, text))
+
+
 def log_weight(text: Column, ratios) -> Column:
     """Column: a text's log importance weight under a broadcast array of log ratios."""
 
@@ -109,6 +123,29 @@ def log_weight(text: Column, ratios) -> Column:
     return of_batch(text)
 
 
+def held_out_weight(doc_id: Column, text: Column, model) -> Column:
+    """Column: the log weight of a row of the target text under a target model without it.
+
+    ``model`` is a broadcast (ids, raw, target); null for rows of other ids.
+    """
+
+    @F.arrow_udf("double")
+    def of_batch(ids: pa.Array, column: pa.Array) -> pa.Array:
+        good, raw, target = model.value
+        known = np.isin(ids.fill_null(-1).to_numpy(zero_copy_only=False), good)
+        out: list[float | None] = [None] * len(ids)
+        for i in np.flatnonzero(known).tolist():
+            used, n = np.unique(buckets(column[i].as_py().encode() if column[i].is_valid else b""), return_counts=True)
+            others = target.sum() - n.sum()
+            # Without any other target text there is no model, as in ``ratios_of``.
+            if others:
+                log_target = np.log((target[used] - n + 1) / (others + BUCKETS))
+                out[i] = float((n * (log_target - np.log((raw[used] + 1) / (raw.sum() + BUCKETS)))).sum())
+        return pa.array(out, pa.float64())
+
+    return of_batch(doc_id.cast("long"), text)
+
+
 def gumbel(*row: Column) -> Column:
     return -F.log(-F.log(uniform(F.lit(SEED), *row)))
 
@@ -136,6 +173,29 @@ def kth_largest(values: DataFrame, name: str, k: int) -> float | None:
     return low
 
 
+def good_rows(keys: DataFrame, labels: DataFrame, rows: int) -> int:
+    """How many of all ``rows`` of ``keys`` weigh as much as those labelled good."""
+    known = (
+        labels.where("doc_id is not null and quality is not null")
+        .groupBy(F.col("doc_id").cast("long").alias("known_id"))
+        .agg(F.max((F.col("quality") == 1).cast("int")).alias("good"))
+    )
+    labelled = freeze(
+        keys.join(known, keys["doc_id"].cast("long") == known["known_id"]).select(
+            F.coalesce("held_out", "log_weight").alias("v"), "good"
+        )
+    )
+    total, good = labelled.agg(F.count("v"), F.sum("good")).first()
+    if not total or good == total:
+        return rows
+    if not good:
+        return 0
+    least = kth_largest(labelled, "v", good)
+    below = labelled.where(F.col("v") < F.lit(least)).agg(F.max("v")).first()[0]
+    cut = least if below is None else (least + below) / 2
+    return keys.where(F.col("log_weight") >= F.lit(cut)).count()
+
+
 class Selection:
     """The models and the threshold that the corpus and its labels give."""
 
@@ -144,15 +204,18 @@ class Selection:
     ) -> None:
         self.ids = (F.col(doc_id), F.col(text))
         self.text = F.col(text)
-        self.ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, labels, doc_id, text))
+        sc = docs.sparkSession.sparkContext
+        good = target_ids(labels)
+        raw, target = bucket_counts(docs, good, doc_id, text)
+        self.ratios = sc.broadcast(ratios_of(raw, target))
+        named = [F.col(doc_id).alias("doc_id"), *self.scored()]
         if share is None:
-            known = labels.agg(F.avg("quality").alias("share")).first()["share"]
-            share = 1.0 if known is None else float(known)
-        self.keys = freeze(
-            docs.select(F.col(doc_id).alias("doc_id"), *self.scored())
-        )
-        rows = self.keys.count()
-        self.threshold = kth_largest(self.keys, "sample_key", min(rows, max(1, round(share * rows)))) if rows else None
+            named.append(held_out_weight(*self.ids, sc.broadcast((good, raw, target))).alias("held_out"))
+        keys = freeze(docs.select(*named))
+        self.keys = keys.drop("held_out")
+        rows = keys.count()
+        k = good_rows(keys, labels, rows) if share is None else round(share * rows)
+        self.threshold = kth_largest(self.keys, "sample_key", min(rows, max(1, k))) if rows else None
 
     def scored(self) -> list[Column]:
         weight = log_weight(self.text, self.ratios)
@@ -172,7 +235,7 @@ def resample(
     """(doc_id, log_weight, sample_key, kept) for each row of ``docs``.
 
     ``labels`` has doc_id and quality (1: good).  ``share`` of the rows are kept; by
-    default as many as the share of good rows among the labelled.
+    default as many as weigh like the rows labelled good.
     """
     chosen = Selection(docs, labels, doc_id, text, share)
     return chosen.keys.withColumn("kept", F.coalesce(chosen.kept(), F.lit(False)))

@@ -69,6 +69,26 @@ def test_junk_goes_and_clean_text_stays(corpus):
     assert sum(r["kept"] for r in clean) >= 0.75 * len(clean)
 
 
+@pytest.mark.parametrize("hot_is_clean", [True, False])
+def test_a_hot_source_that_labels_do_not_cover(spark, hot_is_clean):
+    """A third of all rows is unlabelled and of another mix than the labelled rows, 14 % of them bad."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(200)]
+    rows, labels = [], []
+    for i in range(900):
+        hot = i % 3 == 0
+        clean = hot_is_clean if hot else rng.random() >= 0.14
+        words = rng.choices(vocabulary, k=rng.randrange(20, 80))
+        rows.append((i, " ".join(words if clean else [f"{w} $$$" for w in words]), clean))
+        if not hot and i % 2:
+            labels.append((i, int(clean), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, clean boolean").repartition(4)
+    kept = {r["doc_id"] for r in quality.keep_sampled(docs, spark.createDataFrame(labels, LABELS)).collect()}
+    clean = {i for i, _, c in rows if c}
+    assert len(kept & clean) >= 0.99 * len(clean)
+    assert len(kept - clean) <= 0.02 * (len(rows) - len(clean))
+
+
 def test_gumbel_noise_has_its_law(spark):
     x = np.array([r[0] for r in spark.range(20_000).select(quality.gumbel(F.col("id"))).collect()])
     assert x.mean() == pytest.approx(0.5772, abs=0.03)
