@@ -21,6 +21,13 @@ class Rule(NamedTuple):
     signature: str
 
 
+#: Any characters up to the sentence's end.  A period ends it unless it is within a word, a
+#: small letter follows or an initial or a company's form precedes; 50 such are passed, as
+#: the engine's stack grows with them.
+GAP = (
+    r"[^.]*?(?:(?:\.(?=[^\s.]|[\s*#/;-]+(?-i:[a-z]))|(?:(?<=\b[a-z])|(?<=\bco)|(?<=\binc)|(?<=\bltd)|(?<=\bcorp))\.)"
+    r"[^.]*?){0,50}?"
+)
 V = r"[,;]?\s+(?:version\s+|v\.?\s*|v)?"
 #: (SPDX identifier, keywords, signature of the name)
 NAMES = [
@@ -108,7 +115,7 @@ NAMES = [
     ("SSPL-1.0", "server side", rf"server\s+side\s+public\s+licen[sc]e(?:{V}1(?:\.0)?)?"),
     ("Sleepycat", "sleepycat", r"sleepycat\s+(?:public\s+)?licen[sc]e"),
     ("Unicode-3.0", "unicode", r"unicode\s+licen[sc]e(?:\s+agreement)?"),
-    ("Unlicense", "unlicense", r"\bthe\s+unlicen[sc]e"),
+    ("Unlicense", "unlicense|unlicence", r"\bthe\s+unlicen[sc]e"),
     ("UPL-1.0", "universal permissive", r"universal\s+permissive\s+licen[sc]e"),
     ("Vim", "vim licen", r"\bvim\s+licen[sc]e"),
     ("W3C", "w3c", r"w3c\s+(?:software\s+(?:notice\s+and\s+)?)?licen[sc]e"),
@@ -123,7 +130,7 @@ NOTICES = [
     ("mit", "permission is hereby granted", r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+obtaining\s+a\s+copy"),
     ("isc", "permission to use", r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose"),
     ("bsd-family", "redistribution and use", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms,\s+with\s+or\s+without\s+modification"),
-    ("bsd-3-clause", "endorse or promote", r"neither\s+the\s+name\s+of\s+.{1,80}?\s+may\s+be\s+used\s+to\s+endorse\s+or\s+promote\s+products"),
+    ("bsd-3-clause", "endorse or promote", rf"neither\s+the\s+name\s+of\s{GAP}\s+may\s+be\s+used\s+to\s+endorse\s+or\s+promote\s+products"),
     ("gpl-family", "free software foundation", r"redistribute\s+it\s+and/or\s+modify\s+it\s+under\s+the\s+terms\s+of\s+the\s+gnu\s+general\s+public\s+licen[sc]e\s+as\s+published\s+by\s+the\s+free\s+software\s+foundation"),
     ("apache-2.0", "except in compliance", r"you\s+may\s+not\s+use\s+this\s+file\s+except\s+in\s+compliance\s+with\s+the\s+licen[sc]e"),
     ("mpl-2.0", "source code form", r"this\s+source\s+code\s+form\s+is\s+subject\s+to\s+the\s+terms\s+of\s+the\s+mozilla\s+public\s+licen[sc]e"),
@@ -133,7 +140,7 @@ NOTICES = [
     ("all-rights-reserved", "all rights reserved", r"\ball\s+rights\s+reserved"),
     ("copyright", "copyright", r"\bcopyright\s+(?:\(c\)|©)?\s*(?:19|20)\d\d"),
     ("proprietary", "proprietary", r"proprietary\s+and\s+confidential"),
-    ("proprietary", "unauthorized", r"unauthori[sz]ed\s+(?:copying|reproduction)\s+.{0,60}?\s+is\s+(?:strictly\s+)?prohibited"),
+    ("proprietary", "unauthorized|unauthorised", rf"unauthori[sz]ed\s+(?:copying|reproduction)\b{GAP}\s+is\s+(?:strictly\s+)?prohibited"),
 ]
 
 #: (label, keywords, signature): a family named without its version.

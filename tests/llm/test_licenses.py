@@ -76,6 +76,36 @@ def test_a_name_is_found_by_its_own_rules():
         assert any(re.fullmatch(r.signature, name) for r in rules() if any(k in name.lower() for k in r.keywords)), name
 
 
+LONG_HOLDER = "Neither the name of the " + "Very Long Foundation of Many Words " * 4 + "may be used to endorse or promote products"
+GAPS = [
+    ("bsd-3-clause", "Neither the name of Foo, Inc. nor the names of its\n contributors may be used to endorse or promote products"),
+    ("bsd-3-clause", "Neither the name of the J. Doe Co. Ltd. Group nor that of example.org\nmay be used to endorse or promote products"),
+    ("bsd-3-clause", LONG_HOLDER),
+    ("proprietary", "Unauthorized copying is prohibited"),
+    ("proprietary", "Unauthorised copying of this file, via\nany medium, is strictly prohibited"),
+    ("unlicense", "the Unlicence"),
+]
+
+
+def test_gaps_reach_to_the_end_of_the_sentence(spark):
+    other = "Neither the name of it is known. The MIT License is. It may be used to endorse or promote products"
+    texts = [t for _, t in GAPS] + [other, "neither the name of " + "a.b " * 50_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in licenses.license_spans(frame).collect():
+        got.setdefault(r["doc_id"], []).append((r["rule"], r["label"], r["start"], r["end"]))
+    for i, (label, text) in enumerate(GAPS):
+        assert label in {r[1] for r in got.get(i, [])}, text
+        assert sorted((r, s, e) for r, _, s, e in got[i]) == brute_spans(text, rules())
+    assert {r[1] for r in got[len(GAPS)]} == {"mit"} and len(GAPS) + 1 not in got
+
+
+def test_every_spelling_passes_its_prefilter():
+    for text in ["unauthorised copying is prohibited", "unauthorized copying is prohibited", "the unlicence", "the unlicense"]:
+        hit = [r for r in rules() if re.fullmatch(r.signature, text)]
+        assert hit and all(any(k in text for k in r.keywords) for r in hit), text
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     return spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "doc_id long, text string, labels string").repartition(3)
