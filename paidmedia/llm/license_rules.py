@@ -1,8 +1,8 @@
 """Signature rules for license texts, in the order of their priority.
 
 Fixed values: names of public licenses, their SPDX identifiers, the words of their usual
-notices and their addresses.  Each license gives a name signature by hand; identifier,
-grant and address signatures follow from it by rule.
+notices, their addresses and their short forms.  Each license gives a name signature by
+hand; identifier, operand and grant signatures follow from it by rule.
 """
 
 from __future__ import annotations
@@ -125,6 +125,71 @@ NAMES = [
     ("ZPL-2.1", "zope", rf"zope\s+public\s+licen[sc]e(?:{V}2\.1)?"),
 ]
 
+#: Between a short form and its version, and what may follow it.
+S = r"(?:,\s+|\s+|-)?(?:version\s+|v\.?\s*)?"
+O = r"(?:\.0)?(?:\+|-only|-or-later)?"
+
+
+def short(name: str, version: str) -> str:
+    """Keywords of ``name``, ``S`` and a version: one of them is in every such text."""
+    return "|".join(f"{name}{between}{first}" for between in ("", " ", "-", ", ") for first in (version[0], "v"))
+
+
+#: (SPDX identifier, keywords, signature): short forms, version suffixes, reversed order.
+SHORT_FORMS = [
+    ("AFL-3.0", short("afl", "3"), rf"\bafl{S}3{O}"),
+    ("AGPL-1.0", short("agpl", "1"), rf"\bagpl{S}1{O}"),
+    ("AGPL-3.0", short("agpl", "3"), rf"\bagpl{S}3{O}"),
+    ("Apache-1.1", short("apache", "1"), rf"\bapache{S}1\.1(?:\s+licen[sc]ed?)?"),
+    ("Apache-2.0", short("apache", "2"), rf"\bapache{S}2\.0(?:\s+licen[sc]ed?)?"),
+    ("Apache-2.0", short("apache", "2"), rf"\bapache{S}2\s+licen[sc]ed?"),
+    ("Apache-2.0", short("asl", "2"), rf"\basl{S}2\.0"),
+    ("APSL-2.0", short("apsl", "2"), rf"\bapsl{S}2{O}"),
+    ("Artistic-1.0", short("artistic", "1"), rf"\bartistic{S}1{O}"),
+    ("Artistic-2.0", short("artistic", "2"), rf"\bartistic{S}2{O}"),
+    ("BSD-1-Clause", "bsd", r"\bbsd[\s-]+(?:1|one)[\s-]+clause(?:\s+licen[sc]ed?)?"),
+    ("BSD-2-Clause", "bsd", r"\bbsd[\s-]+(?:2|two)[\s-]+clause(?:\s+licen[sc]ed?)?"),
+    ("BSD-3-Clause", "bsd", r"\bbsd[\s-]+(?:3|three)[\s-]+clause(?:\s+licen[sc]ed?)?"),
+    ("BSD-4-Clause", "bsd", r"\bbsd[\s-]+(?:4|four)[\s-]+clause(?:\s+licen[sc]ed?)?"),
+    ("BSD-2-Clause", "bsd", r"(?:\b2|\btwo)[\s-]+clause\s+bsd"),
+    ("BSD-3-Clause", "bsd", r"(?:\b3|\bthree)[\s-]+clause\s+bsd"),
+    ("BSD-4-Clause", "bsd", r"(?:\b4|\bfour)[\s-]+clause\s+bsd"),
+    ("BSL-1.0", short("bsl", "1"), rf"\bbsl{S}1\.0"),
+    ("BUSL-1.1", short("busl", "1"), rf"\bbusl{S}1\.1"),
+    ("CDDL-1.0", short("cddl", "1"), rf"\bcddl{S}1\.0"),
+    ("CDDL-1.1", short("cddl", "1"), rf"\bcddl{S}1\.1"),
+    ("CPL-1.0", short("cpl", "1"), rf"\bcpl{S}1\.0"),
+    ("ECL-2.0", short("ecl", "2"), rf"\becl{S}2\.0"),
+    ("EPL-1.0", short("epl", "1"), rf"\bepl{S}1{O}"),
+    ("EPL-2.0", short("epl", "2"), rf"\bepl{S}2{O}"),
+    ("EUPL-1.1", short("eupl", "1"), rf"\beupl{S}1\.1"),
+    ("EUPL-1.2", short("eupl", "1"), rf"\beupl{S}1\.2"),
+    ("GFDL-1.2", short("fdl", "1"), rf"\bg?fdl{S}1\.2{O}"),
+    ("GFDL-1.3", short("fdl", "1"), rf"\bg?fdl{S}1\.3{O}"),
+    ("GPL-1.0", short("gpl", "1"), rf"\bgpl{S}1{O}"),
+    ("GPL-2.0", short("gpl", "2"), rf"\bgpl{S}2{O}"),
+    ("GPL-3.0", short("gpl", "3"), rf"\bgpl{S}3{O}"),
+    ("LGPL-2.0", short("lgpl", "2"), rf"\blgpl{S}2{O}"),
+    ("LGPL-2.1", short("lgpl", "2"), rf"\blgpl{S}2\.1{O}"),
+    ("LGPL-3.0", short("lgpl", "3"), rf"\blgpl{S}3{O}"),
+    ("LPPL-1.3c", short("lppl", "1"), rf"\blppl{S}1\.3c?"),
+    ("MIT", "mit licen|mit-licen", r"\bmit[\s-]+licen[sc]ed?"),
+    ("MIT", "expat licen", r"\bexpat\s+licen[sc]e"),
+    ("MPL-1.0", short("mpl", "1"), rf"\bmpl{S}1\.0"),
+    ("MPL-1.1", short("mpl", "1"), rf"\bmpl{S}1\.1"),
+    ("MPL-2.0", short("mpl", "2"), rf"\bmpl{S}2{O}"),
+    ("MS-PL", "ms-pl", r"\bms-pl"),
+    ("MS-RL", "ms-rl", r"\bms-rl"),
+    ("ODbL-1.0", "odbl", r"\bodbl(?:[\s-]+(?:v\s*)?1\.0)?"),
+    ("OFL-1.1", short("ofl", "1"), rf"\bofl{S}1\.1"),
+    ("OSL-3.0", short("osl", "3"), rf"\bosl{S}3\.0"),
+    ("PSF-2.0", short("psf", "2"), rf"\bpsf{S}2\.0"),
+    ("SSPL-1.0", short("sspl", "1"), rf"\bsspl{S}1{O}"),
+    ("UPL-1.0", short("upl", "1"), rf"\bupl{S}1\.0"),
+    ("WTFPL", "wtfpl", r"\bwtfpl"),
+    ("ZPL-2.1", short("zpl", "2"), rf"\bzpl{S}2\.1"),
+]
+
 #: (label, keywords, signature): sentences of license texts and notices.
 NOTICES = [
     ("mit", "permission is hereby granted", r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+obtaining\s+a\s+copy"),
@@ -145,7 +210,7 @@ NOTICES = [
 
 #: (label, keywords, signature): a family named without its version.
 FAMILIES = [
-    ("agpl-family", "affero|agpl", r"affero\s+general\s+public\s+licen[sc]e|\bagpl\b"),
+    ("agpl-family", "affero|agpl", r"affero\s+general\s+public\s+licen[sc]e|\bagpl(?:v?\d[\d.]*)?\b"),
     ("apache-family", "apache", r"apache\s+(?:software\s+)?licen[sc]e"),
     ("artistic-family", "artistic", r"artistic\s+licen[sc]e"),
     ("bsd-family", "bsd", r"\bbsd[- ]licen[sc]ed?"),
@@ -153,8 +218,8 @@ FAMILIES = [
     ("cc-by-family", "cc by|cc-by", r"\bcc[- ]by(?:[- ](?:nc|nd|sa))*\b"),
     ("eclipse-family", "eclipse", r"eclipse\s+public\s+licen[sc]e"),
     ("gfdl-family", "free documentation", r"free\s+documentation\s+licen[sc]e"),
-    ("gpl-family", "general public", r"(?:gnu\s+)?general\s+public\s+licen[sc]e"),
-    ("lgpl-family", "lesser|lgpl", r"lesser\s+general\s+public\s+licen[sc]e|\blgpl\b"),
+    ("gpl-family", "general public|gpl", r"(?:gnu\s+)?general\s+public\s+licen[sc]e|\bgpl(?:v?\d[\d.]*)?\b"),
+    ("lgpl-family", "lesser|lgpl", r"lesser\s+general\s+public\s+licen[sc]e|\blgpl(?:v?\d[\d.]*)?\b"),
     ("mpl-family", "mozilla", r"mozilla\s+public\s+licen[sc]e"),
 ]
 
@@ -184,17 +249,24 @@ ADDRESSES = [
 ]
 
 
+#: An operand of an SPDX expression, with what stands between it and the next one.  An
+#: operand's signature begins at the one before it, so that none of them contains another.
+WORD_TAGS = "|".join(spdx for spdx, _, _ in NAMES if "-" not in spdx)
+OPERAND = rf"(?<![\w.:+-])(?:(?:{WORD_TAGS})(?![\w.:+-])|[\w.:]+-[\w.:+-]+)[ \t)]+(?-i:OR|AND|WITH)[ \t(]+"
+
+
 def rules() -> list[Rule]:
-    """All signatures: identifiers, grants, notices, names, addresses, families, in this order."""
+    """All signatures in this order: identifiers, operands, grants, notices, names, short forms, addresses, families."""
     out: list[tuple[str, int, float, str, str]] = []
-    for spdx, _, _ in NAMES:
-        tag = spdx.replace(".", r"\.")
-        out.append((spdx.lower(), 0, 1.0, "spdx", rf"spdx-license-identifier:\s*{tag}(?:-only|-or-later|\+)?(?![\w.-])"))
+    tags = [(spdx.lower(), spdx.replace(".", r"\.") + r"(?:-only|-or-later|\+)?(?![\w+-]|\.\w)") for spdx, _, _ in NAMES]
+    out += [(label, 0, 1.0, "spdx", rf"spdx-license-identifier:[\s(]*{tag}") for label, tag in tags]
+    out += [(label, 0, 1.0, "spdx-license-identifier", rf"{OPERAND}{tag}") for label, tag in tags]
     for spdx, keyword, name in NAMES:
         grant = r"(?:licen[sc]ed|released|distributed|available|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?"
         out.append((spdx.lower(), 1, 0.95, keyword, rf"{grant}(?:{name})(?![\w-])"))
     out += [(label, 2, 0.9, keyword, signature) for label, keyword, signature in NOTICES]
     out += [(spdx.lower(), 3, 0.8, keyword, rf"(?:{name})(?![\w-])") for spdx, keyword, name in NAMES]
+    out += [(spdx.lower(), 3, 0.8, keyword, rf"(?:{form})(?![\w-]|\.\d)") for spdx, keyword, form in SHORT_FORMS]
     out += [(spdx.lower(), 4, 0.7, keyword, rf"(?:{address})(?![\w-])") for spdx, keyword, address in ADDRESSES]
     out += [(label, 5, 0.5, keyword, signature) for label, keyword, signature in FAMILIES]
     return [Rule(i, label, p, c, tuple(k.split("|")), f"(?i){s}") for i, (label, p, c, k, s) in enumerate(out)]

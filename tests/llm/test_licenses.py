@@ -76,6 +76,56 @@ def test_a_name_is_found_by_its_own_rules():
         assert any(re.fullmatch(r.signature, name) for r in rules() if any(k in name.lower() for k in r.keywords)), name
 
 
+FORMS = {
+    "Distributed under the BSD 3-Clause License.": "bsd-3-clause",
+    "Available under the two-clause BSD terms; BSD 2 Clause": "bsd-2-clause",
+    "This project is licensed under Apache 2.0.": "apache-2.0",
+    "Apache-2.0 License": "apache-2.0",
+    "Licensed under GPLv3": "gpl-3.0",
+    "GPL-2.0": "gpl-2.0",
+    "License: GPL, version 2 or later": "gpl-2.0",
+    "the GPL": "gpl-family",
+    "under LGPLv2.1+": "lgpl-2.1",
+    "AGPL-3.0-or-later applies": "agpl-3.0",
+    "This Source Code is under the MPL 2.0": "mpl-2.0",
+    "Dual licensed: EPL-2.0": "epl-2.0",
+    "an MIT-licensed library": "mit",
+    "# SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2.0,mit",
+    "// SPDX-License-Identifier: (MIT OR Apache-2.0)": "apache-2.0,mit",
+    "SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR GPL-2.0-only WITH Classpath-exception-2.0 OR ISC":
+        "bsd-3-clause,gpl-2.0,isc,mit",
+    "SPDX-License-Identifier: GPL-2.0+ OR LicenseRef-Own OR Zlib.": "gpl-2.0,zlib",
+    "an example of a reply 2 simple: Apache 2.0.64 and Apache 2.4 servers, XML OR JSON": "",
+}
+
+
+def test_short_forms_and_expressions(spark):
+    frame = spark.createDataFrame(list(enumerate(FORMS)), "doc_id long, text string")
+    spans, labels = {}, {}
+    for r in licenses.license_spans(frame).collect():
+        spans.setdefault(r["doc_id"], []).append((r["rule"], r["start"], r["end"]))
+        labels.setdefault(r["doc_id"], set()).add(r["label"])
+    for i, (text, want) in enumerate(FORMS.items()):
+        assert ",".join(sorted(labels.get(i, set()))) == want, text
+        assert sorted(spans.get(i, [])) == brute_spans(text, rules()), text
+
+
+def test_every_short_form_is_found_in_all_its_spellings():
+    from paidmedia.llm.license_rules import SHORT_FORMS
+
+    for spdx, keywords, _ in SHORT_FORMS:
+        if "v" not in keywords or spdx.lower().split("-")[0] in ("mit", "ms"):
+            continue
+        name, version = keywords.split("|")[0][:-1], spdx.split("-")[-1]
+        tail = " license" if name == "apache" else ""
+        for between in ("", " ", "-", " v", "-v", "v", ", version ", " version ", ", v. "):
+            text = f"{name}{between}{version}{tail}"
+            assert any(
+                r.label == spdx.lower() and re.fullmatch(r.signature, text) and any(k in text for k in r.keywords)
+                for r in rules()
+            ), text
+
+
 LONG_HOLDER = "Neither the name of the " + "Very Long Foundation of Many Words " * 4 + "may be used to endorse or promote products"
 GAPS = [
     ("bsd-3-clause", "Neither the name of Foo, Inc. nor the names of its\n contributors may be used to endorse or promote products"),
