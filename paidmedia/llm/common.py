@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import sys
+from collections.abc import Callable, Hashable, Iterable
+from types import ModuleType
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +41,18 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def once(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once in each Python process, whatever number of tasks it runs.
+
+    Functions arrive in workers by value, with globals of their own for each task, so the
+    process keeps such things under a module name instead.
+    """
+    kept = sys.modules.setdefault("_paidmedia_llm_process", ModuleType("_paidmedia_llm_process")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def binary(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -10,8 +10,9 @@ The plan goes back to the pieces as intervals: the r-th piece of a length lies i
 and place that the interval around r names.  Pieces are numbered within their length in
 buckets of bounded size, so a length that a third of all pieces share is spread over tasks.
 
-Token ids come from the ``tokenizers`` library.  Each task encodes every distinct word
-once and looks up the others; the ids are those of the whole text (the tests compare them).
+Token ids come from the ``tokenizers`` library.  A Python worker loads the vocabulary once,
+however many tasks it runs, encodes a distinct word once and looks up the others in a memo
+of bounded bytes; the ids are those of the whole text (the tests compare them).
 
 A null text is an empty document: the end mark alone.  Longer documents than a bin are cut
 into whole bins and a rest.  Repeated rows are documents of their own.  An empty table
@@ -32,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paidmedia.llm.common import freeze
+from paidmedia.llm.common import freeze, once
 
 CAPACITY = 2048
 END = 0
-#: Distinct words a task keeps the ids of.
-MEMO_WORDS = 400_000
+#: Bytes of words and ids that a Python worker keeps, and what an entry takes besides.
+MEMO_BYTES = 64 << 20
+ENTRY_BYTES = 200
 BUCKET_ROWS = 1 << 19
 
 #: What lower-casing does to each Latin-1 character, and those that are letters or numbers
@@ -74,14 +76,20 @@ class Memo(dict):
         split = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.as_bytes = {c: split(chr(c))[0][0] for c in range(256)}
         self.tokenize = tokenizer.model.tokenize
+        self.bytes = 0
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
         letters = word.decode("latin-1")
         if not word.isalpha():  # only ASCII letters stand for themselves
             letters = letters.translate(self.as_bytes)
-        self[word] = ids = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+        ids = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+        size = len(word) + len(ids) + ENTRY_BYTES
+        if self.bytes + size > MEMO_BYTES:
+            self.clear()
+            self.bytes = 0
+        if size <= MEMO_BYTES:
+            self[word] = ids
+            self.bytes += size
         return ids
 
 
@@ -117,7 +125,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, doc_id: str, text: st
     """One row per piece of at most ``capacity`` ids, the end mark included."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = once(("encoder", tokenizer), lambda: WordEncoder(tokenizer))
         end = np.array([END], "<u4").tobytes()
         step = 4 * capacity
         for batch in batches:
@@ -126,7 +134,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, doc_id: str, text: st
                 i, ids = i.as_py(), encoder.encode(text.as_py()) + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
-                    rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), part))
+                    rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             arrays = [pa.array(list(c), t) for c, t in zip(columns, kinds, strict=False)]

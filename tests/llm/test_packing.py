@@ -3,11 +3,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import DATA
 from tokenizers import Tokenizer
 
 from paidmedia.llm import packing, queries
+from paidmedia.llm.common import once
 
 ODD = [
     "It's I'LL we're 'tis don't'", "a.b,c! 1234 x2y ½ ²", "Straße ÉCOLE Œuvre ŒUVRE", "  lead\n\ttab nb",
@@ -27,8 +29,8 @@ def ids_of(library, text):
 
 def test_ids_are_those_of_the_whole_text(spark, library, monkeypatch):
     texts = ODD + [r["text"] for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()]
-    for words in (packing.MEMO_WORDS, 5):
-        monkeypatch.setattr(packing, "MEMO_WORDS", words)
+    for size in (packing.MEMO_BYTES, 1000, 0):
+        monkeypatch.setattr(packing, "MEMO_BYTES", size)
         encoder = packing.WordEncoder(packing.word_tokenizer())
         for t in texts:
             assert encoder.encode(t) == ids_of(library, t)[:-1].tobytes(), t[:40]
@@ -140,3 +142,29 @@ def test_query_on_whole_table(spark, library):
     rows = queries.op6_packing(spark, folder).collect()
     bins = check(rows, texts, library, 2048)
     assert bins <= 1.01 * sum(r["length"] for r in rows) / 2048 + 1
+
+
+def test_a_worker_loads_the_vocabulary_once(spark):
+    """One Python process may run many tasks: its memory must not grow with them."""
+    import resource
+
+    def peak(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024] * batch.num_rows)], names=["mb"]
+            )
+
+    texts = spark.createDataFrame([(i, f"word{i} and more {i}") for i in range(100)], "doc_id long, text string")
+    path = packing.word_tokenizer()
+    packing.pieces(texts.repartition(4), path, 2048, "doc_id", "text", False).count()
+    before = max(r["mb"] for r in texts.mapInArrow(peak, "mb long").collect())
+    packing.pieces(texts.repartition(100), path, 2048, "doc_id", "text", False).count()
+    after = max(r["mb"] for r in texts.mapInArrow(peak, "mb long").collect())
+    assert after - before < 60
+
+
+def test_once_makes_one_value_a_process():
+    made = []
+    for _ in range(3):
+        once(("test", "once"), lambda: made.append(1))
+    assert made == [1]
