@@ -34,14 +34,18 @@ PHRASES = {
 }
 
 #: ASCII letters and digits and all characters beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def least(words: set[str]) -> list[str]:
+    """The words that hold no other one: a text with any of ``words`` has one of them."""
+    return sorted(w for w in words if not any(o != w and o in w for o in words))
+
+
 def gate_words(signatures: list[Rule]) -> list[str]:
     """Words of which every text with a keyword has one: the longest of each keyword."""
-    longest = {max(k.split(), key=len) for r in signatures for k in r.keywords}
-    return sorted(w for w in longest if not any(o != w and o in w for o in longest))
+    return least({max(k.split(), key=len) for r in signatures for k in r.keywords})
 
 
 def any_of(text: Column, parts: list[str]) -> Column:
@@ -104,14 +108,17 @@ def detections(seen: DataFrame, signatures: list[Rule]) -> DataFrame:
         "array<struct<rule:int,label:string,priority:int,confidence:double,keywords:array<string>,signature:string>>",
     )
     # A phrase may be split by any white space, so keywords are sought in a text where it is one space.
-    spaced = F.regexp_replace("low", r"\s+", " ")
+    # The longest words of short forms stand inside many others, so few of the texts that
+    # pass the first gate hold a whole keyword; only those are asked for each rule's.
+    keywords = least({k for r in signatures for k in r.keywords})
+    spaced = F.when(any_of(F.col("low"), gate_words(signatures)), F.regexp_replace("low", r"\s+", " "))
     tried = F.when(
         F.col("gated"),
         F.filter(listed, lambda r: F.exists(r["keywords"], lambda k: F.contains(F.col("spaced"), k))),
     )
     rows = (
-        seen.withColumn("gated", any_of(F.col("low"), gate_words(signatures)))
-        .withColumn("spaced", F.when(F.col("gated"), spaced))
+        seen.withColumn("spaced", spaced)
+        .withColumn("gated", F.col("spaced").isNotNull() & any_of(F.col("spaced"), keywords))
         .select("row", "doc_id", "n_words", "base", "text", F.explode_outer(tried).alias("r"))
     )
     # Parts between the places, each with the place that follows it.
@@ -120,7 +127,7 @@ def detections(seen: DataFrame, signatures: list[Rule]) -> DataFrame:
         F.regexp_extract_all("text", F.col("r.signature"), F.lit(0)), lambda p: F.length(p)
     )
     zipped = F.when(
-        F.col("r").isNotNull() & F.regexp_like("text", F.col("r.signature")),
+        F.col("r").isNotNull() & (F.size(places) > 0),
         F.slice(F.arrays_zip(parts.alias("gap"), places.alias("chars")), F.lit(1), F.size(places)),
     )
     found = rows.select(

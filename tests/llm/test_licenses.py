@@ -213,3 +213,17 @@ def test_query_on_whole_table(spark):
     assert len(got) == len(texts)
     for r in got:
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_base(texts[r["doc_id"]])
+
+
+def test_the_word_class_is_the_contract_s():
+    """The positive class takes the same code points as the one the contract states."""
+    ours = re.compile(licenses.WORD.replace(r"\x{80}-\x{10FFFF}", "\x80-\U0010ffff"))
+    points = [*range(0x300), 0x2028, 0xD7FF, 0xE000, 0xFFFD, 0x10000, 0x10FFFF]
+    assert [bool(ours.fullmatch(chr(p))) for p in points] == [bool(WORD.fullmatch(lower(chr(p)))) for p in points]
+
+
+def test_word_count_over_odd_characters(spark):
+    texts = ["a\x7fb \x80\x81", "é-ü 日本 x \U0001f600", "", "0/9:@AZ[`az{", "x" * 200_000 + " y"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_words"] for r in licenses.license_labels(rows).collect()}
+    assert got == {i: len(WORD.findall(lower(t))) for i, t in enumerate(texts)}
