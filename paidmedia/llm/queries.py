@@ -15,6 +15,7 @@ from paidmedia.llm import (
     line_dedup,
     neighbours,
     packing,
+    pii,
     prefix_trie,
     quality,
     sharding,
@@ -94,6 +95,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -111,6 +116,7 @@ def queries() -> dict[str, Query]:
         "op9_line_dedup": op9_line_dedup,
         "op10_licenses": op10_licenses,
         "op11_centroids": op11_centroids,
+        "op12_pii": op12_pii,
         "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
