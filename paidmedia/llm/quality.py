@@ -22,7 +22,8 @@ are weighed without their own n-grams there, so that they do not set the cut-off
 
 Nulls: a null text counts as empty and has log weight zero; rows with a null id are scored
 like others.  Rows that tie with the last one sampled are all kept, so equal rows share
-their fate.  Empty tables give an empty result; where no row is labelled all are kept.
+their fate.  Empty tables give an empty result; where no row is labelled all are kept, and
+where every labelled row is bad none is.
 """
 
 from __future__ import annotations
@@ -64,6 +65,11 @@ def buckets(text: bytes | None) -> np.ndarray:
     return (np.concatenate([marked * REPEAT, pairs]) >> SHIFT).astype(np.int64)
 
 
+def is_in(ids: pa.Array, known: np.ndarray) -> np.ndarray:
+    """Which ids are among the known ones; a null id never is."""
+    return np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), known) & ids.is_valid().to_numpy(zero_copy_only=False)
+
+
 def target_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> np.ndarray:
     """Sorted ids of at most ``rows`` documents labelled good, chosen by their hash."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
@@ -78,7 +84,7 @@ def bucket_counts(docs: DataFrame, ids: np.ndarray, doc_id: str, text: str) -> t
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            known = np.isin(batch.column(0).fill_null(-1).to_numpy(False), good.value)
+            known = is_in(batch.column(0), good.value)
             for is_target, data in zip(known.tolist(), binary(batch.column(1)), strict=True):
                 n = np.bincount(buckets(data), minlength=BUCKETS)
                 raw += n
@@ -132,7 +138,7 @@ def held_out_weight(doc_id: Column, text: Column, model) -> Column:
     @F.arrow_udf("double")
     def of_batch(ids: pa.Array, column: pa.Array) -> pa.Array:
         good, raw, target = model.value
-        known = np.isin(ids.fill_null(-1).to_numpy(zero_copy_only=False), good)
+        known = is_in(ids, good)
         out: list[float | None] = [None] * len(ids)
         for i in np.flatnonzero(known).tolist():
             used, n = np.unique(buckets(column[i].as_py().encode() if column[i].is_valid else b""), return_counts=True)
@@ -215,7 +221,10 @@ class Selection:
         self.keys = keys.drop("held_out")
         rows = keys.count()
         k = good_rows(keys, labels, rows) if share is None else round(share * rows)
-        self.threshold = kth_largest(self.keys, "sample_key", min(rows, max(1, k))) if rows else None
+        if rows and k < 1:
+            self.threshold = float("inf")
+        else:
+            self.threshold = kth_largest(self.keys, "sample_key", min(rows, k)) if rows else None
 
     def scored(self) -> list[Column]:
         weight = log_weight(self.text, self.ratios)

@@ -119,6 +119,11 @@ def fits_broadcast(rules: list[tuple[str, str, str]]) -> bool:
     return len(rules) <= MAX_RULES and all(len(h) + len(p) <= MAX_RULE_CHARS for h, p, _ in rules)
 
 
+def ascii_lower(host: str) -> str:
+    """A-Z to a-z as in the hosts of urls; other letters stay."""
+    return host.translate(str.maketrans(UPPER, LOWER))
+
+
 def judge(
     pages: DataFrame,
     rules: list[tuple[str, str, str]],
@@ -130,7 +135,7 @@ def judge(
     ``rules`` are (host, path, "allow" or "block").  ``otherwise`` is the verdict where
     no rule fits.  Rule lists beyond the broadcast bound are joined instead.
     """
-    rules = [(h.lower(), p, v) for h, p, v in rules if None not in (h, p, v)]
+    rules = [(ascii_lower(h), p, v) for h, p, v in rules if None not in (h, p, v)]
     if not fits_broadcast(rules):
         spark = pages.sparkSession
         listed = spark.createDataFrame(rules, "host string, path string, verdict string")
@@ -187,7 +192,7 @@ def judge_by_join(
         .withColumn("rest", F.substring(F.col("path"), F.length("folder") + 1, F.length("path")))
     )
     own = rules.dropna(subset=["host", "path", "verdict"]).select(
-        F.lower("host").alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict")
+        F.translate("host", UPPER, LOWER).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict")
     ).withColumn("r_folder", F.regexp_extract("r_path", r"(?s)^(.*/)?", 0))
     fits = (
         (F.col("at") == F.col("r_host"))

@@ -38,7 +38,9 @@ def test_quality_keeps_the_good_share(spark, stages):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     kept = {r["doc_id"] for r in after}
     assert set(map(str, after)) <= set(map(str, before))
-    assert len(after) == pytest.approx(len(before) * np.mean(list(labels.values())), abs=1)
+    # Labels are a sample of the rows: the rows kept are as many as weigh like good ones, which
+    # the labelled share gives only roughly.
+    assert len(after) == pytest.approx(len(before) * np.mean(list(labels.values())), rel=0.05)
     known = [r["doc_id"] for r in before if r["doc_id"] in labels]
     assert sum((i in kept) == bool(labels[i]) for i in known) >= 0.9 * len(known)
 

@@ -130,3 +130,20 @@ def test_labels_that_were_not_learned_from(spark):
     scored = quality.resample(docs, labels.where(half)).join(labels.where(~half), "doc_id").collect()
     right = sum(r["kept"] == bool(r["quality"]) for r in scored)
     assert right >= 0.9 * len(scored)
+
+
+def test_a_null_id_is_nobody(spark):
+    """A row without an id never counts as target text, whatever ids are labelled."""
+    docs = spark.createDataFrame([(None, "x y z"), (-1, "a b"), (0, "c d"), (5, "e f")], "doc_id long, text string")
+    for i in (-1, 0):
+        labels = spark.createDataFrame([(i, 1, 0)], LABELS)
+        _, target = quality.bucket_counts(docs, quality.target_ids(labels), "doc_id", "text")
+        assert target.sum() == len(quality.buckets(b"a b"))
+
+
+def test_all_labels_bad(spark, corpus):
+    _, docs, _, listed = corpus
+    labels = spark.createDataFrame([(i, 0, 0) for i, *_ in listed], LABELS)
+    assert quality.keep_sampled(docs, labels).count() == 0
+    assert not any(r["kept"] for r in quality.resample(docs, labels).collect())
+    assert quality.keep_sampled(docs, spark.createDataFrame([], LABELS)).count() == docs.count()

@@ -93,3 +93,11 @@ def test_query_same_as_sql(spark):
     folder = f"{DATA}/sf0.01"
     sql = queries.oracle_sql()["op3_url_filter"]
     assert parity.compare(queries.op3_url_filter(spark, folder), parity.connect(folder), sql) is None
+
+
+def test_only_ascii_letters_of_hosts_are_lowered(spark):
+    rules = [("ÄB.de", "/", "block")]
+    pages = spark.createDataFrame([(1, "http://ÄB.de/x", "", 0), (2, "http://äb.de/x", "", 0)], SCHEMA)
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string")
+    for judged in (url_filter.judge(pages, rules), url_filter.judge_by_join(pages, listed)):
+        assert {r["page_id"]: r["verdict"] for r in judged.collect()} == {1: "block", 2: "allow"}
