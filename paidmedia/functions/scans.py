@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from paidmedia.sources.store import materialise
 
-# More slices than shuffle partitions: the slices of a hot group are hashed to
-# partitions later, and small ones spread more evenly.
-SLICES_PER_PARTITION = 4
-
 
 def same(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of the keys of two aliased DataFrames."""
@@ -38,10 +34,12 @@ def running_totals(
 
     ``order`` has to be a total order within each group.  As in a window, a NULL source
     adds nothing, and a sum is NULL until the first value.
+
+    Unless ``slices`` is given, adaptive execution merges small ranges by their bytes, so
+    the slices follow the data and not the session's number of shuffle partitions.
     """
-    if slices is None:
-        slices = SLICES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *keys, *order)
+    ordered = [*keys, *order]
+    ranged = df.repartitionByRange(slices, *ordered) if slices else df.repartitionByRange(*ordered)
     # The slice number is written out, so that it means the same rows in both uses below.
     sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 

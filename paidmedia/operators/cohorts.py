@@ -53,9 +53,11 @@ def customer_ltv_90d(orders: DataFrame, days: int = 90) -> DataFrame:
     """Real cohorts: each customer's first order, and what followed within ``days``.
 
     Orders are summed per customer and day before anything is ordered, so a
-    customer contributes at most one row per calendar day to the window.
+    customer contributes at most one row per calendar day to the window.  Orders
+    without a customer belong to no cohort.
     """
-    touches = order_touches(orders, F.col("o_totalprice").cast("decimal(12,2)").alias("value"))
+    known = orders.where(F.col("o_custkey").isNotNull())
+    touches = order_touches(known, F.col("o_totalprice").cast("decimal(12,2)").alias("value"))
     # A number instead of the name keeps min_by in a hash aggregate.
     number = choose(F.col("channel"), {c: i for i, c in enumerate(schema.CHANNELS, 1)})
     # get() gives NULL for the NULL number of an unlisted priority.

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paidmedia.functions.exprs import double, percent, ratio, rounded
+from paidmedia.functions.exprs import double, percent, ratio, rounded, rounded_ratio
+from paidmedia.functions.scans import running_totals
 from paidmedia.sources import dimensions
 from paidmedia.sources.touchpoints import EVENT_CHANNELS
 
@@ -161,6 +162,71 @@ def path_steps(journeys: DataFrame, touches: DataFrame) -> DataFrame:
     )
 
 
+def journey_prefixes(numbered: DataFrame, slices: int | None = None) -> DataFrame:
+    """Every touch of every journey, converting or not, with fingerprints of the path up to it.
+
+    The fingerprint of a prefix is that of the prefix before it plus two hashes of (position,
+    channel): a running sum, so a journey of any length stays rows, dealt to many slices.
+    """
+    touched = F.col("is_touch") == 1
+    whole = numbered.groupBy("customer_id", "journey_no").agg(
+        F.min(F.when(touched, F.col("touch_no"))).alias("first_no"),
+        F.sum("is_touch").alias("touches"),
+        F.max("is_conversion").alias("converted"),
+        F.max("revenue").alias("revenue"),
+    )
+    placed = (
+        numbered.filter(touched)
+        .select("customer_id", "journey_no", "touch_no", "event_id", "channel")
+        .join(whole, ["customer_id", "journey_no"])
+        .withColumn("position", F.col("touch_no") - F.col("first_no") + 1)
+    )
+    for seed, name in ((1, "step_a"), (2, "step_b")):
+        placed = placed.withColumn(name, F.xxhash64(F.lit(seed), "position", "channel").cast("decimal(20,0)"))
+    return running_totals(
+        placed, ["customer_id", "journey_no"], ["position"], {"path_a": "step_a", "path_b": "step_b"}, slices
+    )
+
+
+def path_trie(prefixes: DataFrame) -> DataFrame:
+    """The trie of all paths as a table: a node per distinct prefix, with who went on and who was lost.
+
+    A node is named by its smallest event and names its parent in the same way.  ``lost`` are
+    journeys that end here without a conversion, ``drop_off_pct`` their share of the node's.
+    Journeys with the same prefix share its row, and no path is gathered.
+    """
+    ends = F.col("position") == F.col("touches")
+    nodes = prefixes.groupBy("path_a", "path_b", "position").agg(
+        F.min("event_id").alias("node_id"),
+        F.max("channel").alias("channel"),
+        F.max(F.col("path_a") - F.col("step_a")).alias("above_a"),
+        F.max(F.col("path_b") - F.col("step_b")).alias("above_b"),
+        F.count(F.lit(1)).alias("journeys"),
+        F.sum("converted").alias("conversions"),
+        F.count_if(ends & (F.col("converted") == 1)).alias("converted_here"),
+        F.count_if(ends & (F.col("converted") == 0)).alias("lost"),
+        F.sum(F.col("revenue")).alias("revenue"),
+    )
+    above = nodes.select(
+        F.col("path_a").alias("above_a"),
+        F.col("path_b").alias("above_b"),
+        (F.col("position") + 1).alias("position"),
+        F.col("node_id").alias("parent_id"),
+    )
+    return nodes.join(above, ["above_a", "above_b", "position"], "left").select(
+        "node_id",
+        "parent_id",
+        F.col("position").alias("depth"),
+        "channel",
+        "journeys",
+        "conversions",
+        "converted_here",
+        "lost",
+        F.coalesce(double("revenue"), F.lit(0.0)).alias("revenue"),
+        rounded_ratio("lost", "journeys", 2, 100).alias("drop_off_pct"),
+    )
+
+
 def channel_order_frequency(journeys: DataFrame) -> DataFrame:
     """Journeys by the order in which their distinct channels came first."""
     orders = journeys.groupBy(

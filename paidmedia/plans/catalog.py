@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paidmedia.operators import (
     attribution,
     budget,
+    coalitions,
     cohorts,
     cooccurrence,
     creative,
@@ -18,6 +19,7 @@ from paidmedia.operators import (
     profile,
     segments,
     trends,
+    windows,
 )
 from paidmedia.sources import dimensions, files, schema
 from paidmedia.sources.fact import fact_table, raw
@@ -78,6 +80,33 @@ def _customer_ltv(spark: SparkSession, folder: str) -> DataFrame:
     return cohorts.customer_ltv_90d(raw(spark, folder, "orders"))
 
 
+def on_orders(operator: Callable[..., DataFrame], **options) -> Query:
+    return lambda spark, folder: operator(raw(spark, folder, "orders"), **options)
+
+
+def _lookback(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.lookback_touches(touchpoints(raw(spark, folder, "events")))
+
+
+def _path_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return journeys.path_trie(journeys.journey_prefixes(numbered_table(spark, folder)))
+
+
+def on_worth(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    """The worth of every coalition, built once per application: a row per set of channels."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        worth = derived(
+            spark,
+            f"worth:{folder}",
+            [f"{folder}/events.parquet"],
+            lambda: coalitions.conversion_worth(numbered_table(spark, folder)),
+        )
+        return operator(worth)
+
+    return query
+
+
 def _filtered(spark: SparkSession, folder: str) -> DataFrame:
     return files.apply_filters(fact_table(spark, folder), **FILTER)
 
@@ -173,6 +202,8 @@ def queries() -> dict[str, Query]:
         # Cohorts
         "ltv_cohort_90d": on_fact(cohorts.ltv_cohort_90d),
         "customer_ltv_90d": _customer_ltv,
+        "cohort_orders_90d": on_orders(windows.cohort_orders_90d),
+        "crossover_orders": on_orders(windows.crossover_orders),
         # Creatives
         "creative_fatigue_curve": on_fact(creative.creative_fatigue_curve),
         "creative_fatigue_curve_detailed": on_fact(creative.creative_fatigue_curve, details=True),
@@ -212,6 +243,7 @@ def queries() -> dict[str, Query]:
         # Co-occurrence
         "channel_pairs": on_fact(cooccurrence.channel_pairs),
         "channel_pairs_detailed": on_fact(cooccurrence.channel_pairs, details=True),
+        "channel_sets": on_fact(coalitions.channel_sets),
         "isolated_channel_days": on_fact(cooccurrence.isolated_channel_days),
         "monthly_channel_mix": on_fact(cooccurrence.monthly_channel_mix),
         "daily_active_channels": on_fact(cooccurrence.daily_active_channels),
@@ -221,6 +253,11 @@ def queries() -> dict[str, Query]:
         "equal_split_weights": on_journeys(journeys.equal_split_weights),
         "path_frequency": on_paths(journeys.path_frequency),
         "path_steps": on_paths(journeys.path_steps),
+        "path_trie": _path_trie,
+        "journey_sets": on_journeys(coalitions.journey_sets),
+        "lookback_touches": _lookback,
+        "shapley_conversion": on_worth(coalitions.shapley_conversion_report),
+        "shapley_sampled": on_worth(coalitions.shapley_sampled_check),
         "channel_order_frequency": on_journeys(journeys.channel_order_frequency),
         "journey_credit": on_journeys(journeys.journey_credit),
         "shapley_exact": on_journeys(journeys.shapley_exact),

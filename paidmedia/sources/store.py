@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 _lock = threading.RLock()
 _tables: dict[tuple[str, str], tuple[tuple, str, StructType]] = {}
+_building: dict[tuple[str, str], threading.RLock] = {}
 _marked: set[str] = set()
 
 
@@ -46,15 +47,19 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def file_state(spark: SparkSession, paths: Sequence[str]) -> tuple:
-    """Name, length and time of every file below some paths."""
+    """Files and bytes below each path and the time of the path itself.
+
+    Two calls a path, however many files it holds.  A file that is added, removed or
+    replaced changes the time of its folder; where a store keeps no such times and the
+    bytes stay the same, ``refresh`` forgets the table.
+    """
     found = []
     for path in paths:
         where, files = _hadoop(spark, path)
-        listed = files.listFiles(where, True)
-        while listed.hasNext():
-            f = listed.next()
-            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return tuple(sorted(found))
+        whole = files.getContentSummary(where)
+        time = files.getFileStatus(where).getModificationTime()
+        found.append((path, whole.getFileCount(), whole.getLength(), time))
+    return tuple(found)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -75,7 +80,10 @@ def derived(
     """
     name = (spark.sparkContext.applicationId, key)
     state = file_state(spark, inputs)
+    # One build of a table at a time; other tables are not kept waiting.
     with _lock:
+        building = _building.setdefault(name, threading.RLock())
+    with building:
         if name not in _tables or _tables[name][0] != state:
             df = build()
             path = new_path(spark, "table")

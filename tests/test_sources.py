@@ -220,6 +220,16 @@ def test_derived_table_is_built_once_until_its_files_change(spark, tmp_path):
     assert len(built) == 3
 
 
+def test_the_state_of_a_table_does_not_grow_with_its_files(spark, tmp_path):
+    folder = str(tmp_path / "many")
+    spark.range(40).repartition(20).write.parquet(folder)
+    before = store.file_state(spark, [folder])
+    assert len(before) == 1
+    assert store.file_state(spark, [folder]) == before
+    next(p for p in (tmp_path / "many").iterdir() if p.suffix == ".parquet").unlink()
+    assert store.file_state(spark, [folder]) != before
+
+
 def test_nothing_is_left_after_the_session(tmp_path):
     """A session of its own process: its folder is gone when it ends."""
     import os

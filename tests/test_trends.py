@@ -154,3 +154,15 @@ def test_customer_cohorts(spark, rows):
             "repeat_rate_90d_pct": 50.0,
         }
     ]
+
+
+def test_orders_without_a_customer_are_no_cohort(spark, rows):
+    """Three of them, on three days, would look like one loyal customer."""
+    day = datetime.datetime
+    orders = spark.createDataFrame(
+        [(i, None, day(2000, 1, i), "3-MEDIUM", 5.0) for i in (1, 2, 3)]
+        + [(4, 7, day(2000, 1, 4), "3-MEDIUM", 5.0), (5, 7, day(2000, 2, 4), "5-LOW", 6.0)],
+        "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string, o_totalprice double",
+    )
+    (got,) = rows(cohorts.customer_ltv_90d(orders))
+    assert (got["customers"], got["repeat_customers"], got["revenue_90d_gbp"]) == (1, 1, 6.0)
