@@ -18,7 +18,7 @@ from paidmedia.functions.exprs import (
     totals,
     with_spend,
 )
-from paidmedia.functions.scans import bucketed
+from paidmedia.functions.selection import bucketed
 from paidmedia.sources import schema
 
 # Labels of the reports.

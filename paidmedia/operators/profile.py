@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paidmedia.functions.exprs import EXACT, double, ratio, rounded
-from paidmedia.functions.scans import quantiles, same, value_counts
+from paidmedia.functions.scans import same
+from paidmedia.functions.selection import exact_quantiles
 
 DESCRIBED = ["spend_gbp", "revenue_gbp", "ROAS", "CAC", "CTR", "Repeat_Rate"]
 
@@ -49,25 +50,22 @@ def describe_metrics(
 ) -> DataFrame:
     """count, mean, sample deviation, minimum, exact quartiles and maximum per column.
 
-    One pass counts the values of each column; everything else comes from the counts.
-    Sums of values and of their squares are DECIMAL, so they do not depend on order.
+    Sums of values and of their squares are DECIMAL, so they do not depend on order, and
+    are added up before the shuffle; quartiles keep only the values that a sketch brackets.
     """
     listed = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {listed}) AS (metric, value)")
-    counts = value_counts(long, "metric", "value")
-    n, value = F.col("_n"), F.col("value").cast(EXACT)
     # Six digits, so that the sum of squares of amounts to the billion fits.
     coarse = F.col("value").cast("decimal(16,6)")
-    squares = (coarse * coarse).cast("decimal(32,12)") * n.cast("decimal(12,0)")
-    spread = counts.groupBy("metric").agg(
-        F.sum("_n").alias("count"),
-        F.sum((value * n.cast("decimal(12,0)")).cast("decimal(38,10)")).alias("sum"),
-        F.sum(squares.cast("decimal(38,12)")).alias("squares"),
+    sums = [
+        F.count("value").alias("count"),
+        F.sum(F.col("value").cast(EXACT)).alias("sum"),
+        F.sum((coarse * coarse).cast("decimal(32,12)")).cast("decimal(38,12)").alias("squares"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
+    ]
     rest = double("squares") - double("sum") * double("sum") / F.col("count")
-    quartiles = quantiles(counts, "metric", "value", {"p25": 0.25, "p50": 0.50, "p75": 0.75}, slices)
+    spread = exact_quantiles(long, "metric", "value", {"p25": 0.25, "p50": 0.50, "p75": 0.75}, slices, sums)
     every = df.sparkSession.createDataFrame([(c,) for c in columns], "metric string")
     return (
         every.alias("e")
@@ -76,7 +74,6 @@ def describe_metrics(
         .withColumn("mean", ratio("sum", "count"))
         .withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.greatest(rest, F.lit(0.0)) / (F.col("count") - 1))))
         .withColumn("count", F.coalesce("count", F.lit(0)))
-        .join(quartiles, "metric", "left")
         .select(
             "metric",
             "count",
