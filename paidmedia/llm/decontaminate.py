@@ -4,7 +4,9 @@ A spaced seed is a fixed mask: it reads six of the next seven to ten words and i
 the others, so a substituted word under a gap does no harm.  With the four masks below
 any twelve words with two substitutions, and any fifteen with three, still have a hit.
 Items of six to eleven words have a shorter seed besides, three words long, which some
-third of such an item holds unless over a fifth of it is substituted.  Hashes of all masks
+third of such an item holds unless over a fifth of it is substituted.  Items of one to five
+words have seeds of their own, short enough for every text that may agree in 80 %: four
+words or fewer have to be there word for word, of five one may be substituted.  Hashes of all masks
 at all places of the training texts are joined with those of the benchmark; around each
 hit the texts are compared word by word along the hit's diagonal, and an overlap counts
 if ``MIN_WORDS`` words or more (or the whole item, if it is shorter) agree in 80 % or more.
@@ -16,9 +18,15 @@ Training texts are never shuffled; ``overlaps`` scans them once per block, and
 ``drop_contaminated`` once in all.
 Within a task the hash join is a bitmap lookup and a binary search over numpy arrays.
 
+On a diagonal the longest run counts, then the longest ones before and after it, and so on.
+Of one item's overlaps with a text those stay that do not lie within a longer one of them
+(of equal places in the text the one earlier in the item stays), so an item that a text holds
+twice, or in two passages, has two rows.
+
 Words are runs of ASCII letters and digits and of non-ASCII characters, A-Z lower-cased.
-Null and empty texts have no overlaps.  An item of fewer than six words has no seed and
-cannot be told from chance; it is not sought.  Equal benchmark texts count once, under
+Null, empty and wordless texts and items have no overlaps.  A benchmark item of one common
+word overlaps every text that holds the word; ``least_item`` leaves out items of fewer words
+where that is not wanted.  Equal benchmark texts count once, under
 their smallest id.  Repeated documents each have rows of their own.  An empty table on either side gives no overlaps.
 """
 
@@ -43,6 +51,8 @@ MASKS = [
 ]
 #: The further seed of items with SHORT_ITEM[0] to SHORT_ITEM[1] words.
 SHORT_MASK, SHORT_ITEM = (0, 1, 2), (6, 11)
+#: The seeds of items with one to five words, by their number.
+TINY_MASKS = {1: (0,), 2: (0, 1), 3: (0, 1, 2), 4: (0, 1, 2), 5: (0, 1)}
 MIN_WORDS = 13
 SIMILARITY = 0.8
 BLOCK_WORDS = 400_000
@@ -60,6 +70,8 @@ def word_hashes(text: bytes | None) -> np.ndarray:
 
 def masks_for(n_words: int) -> list[tuple[int, ...]]:
     """The seeds of an item of so many words."""
+    if n_words in TINY_MASKS:
+        return [TINY_MASKS[n_words]]
     return [*MASKS, SHORT_MASK] if SHORT_ITEM[0] <= n_words <= SHORT_ITEM[1] else MASKS
 
 
@@ -116,18 +128,38 @@ class Block:
                     )
         return found
 
-    def overlaps(self, tokens: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
-        """Item to its longest overlap: (place in the text, place in the item, words, equal words)."""
-        best: dict[int, tuple[int, int, int, int]] = {}
-        for k, diagonal in sorted(self.hits(tokens)):
+    def overlaps(self, tokens: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(item, place in the text, place in the item, words, equal words) of every overlap."""
+        for k, diagonal in self.hits(tokens):
             item = self.tokens[k]
             start, end = max(0, -diagonal), min(len(item), len(tokens) - diagonal)
             same = item[start:end] == tokens[start + diagonal : end + diagonal]
-            at, length = longest_agreement(same, min(MIN_WORDS, len(item)))
-            if length > best.get(k, (0, 0, 0, 0))[2]:
+            for at, length in agreements(same, min(MIN_WORDS, len(item))):
                 first = start + at
-                best[k] = (first + diagonal, first, length, int(same[at : at + length].sum()))
-        return best
+                yield k, first + diagonal, first, length, int(same[at : at + length].sum())
+
+    def any_overlap(self, tokens: np.ndarray) -> bool:
+        return next(self.overlaps(tokens), None) is not None
+
+    def maximal(self, tokens: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """The overlaps that do not lie within another one of the same item, in text order."""
+        out: list[tuple[int, int, int, int, int]] = []
+        for row in sorted(self.overlaps(tokens), key=lambda r: (r[0], r[1], -r[3], r[2])):
+            # Starts rise, so a row lies within an earlier one if it ends no later than the last kept.
+            if not out or out[-1][0] != row[0] or row[1] + row[3] > out[-1][1] + out[-1][3]:
+                out.append(row)
+        return out
+
+
+def agreements(same: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
+    """(start, length) of the longest run, then of those in what is left on both sides of it."""
+    parts = [(0, len(same))]
+    while parts:
+        low, high = parts.pop()
+        at, length = longest_agreement(same[low:high], least)
+        if length:
+            yield low + at, length
+            parts += [(low, low + at), (low + at + length, high)]
 
 
 def longest_agreement(same: np.ndarray, least: int) -> tuple[int, int]:
@@ -136,7 +168,7 @@ def longest_agreement(same: np.ndarray, least: int) -> tuple[int, int]:
     A run starts and ends with an equal place.  Scores +1 and -4 have a sum of zero or
     more where four of five agree, so a run is a pair of prefix sums that do not fall.
     """
-    if len(same) < least or same.sum() < SIMILARITY * least:
+    if not least or len(same) < least or same.sum() < SIMILARITY * least:
         return 0, 0
     prefix = np.concatenate([[0], np.cumsum(np.where(same, 1, -4))])
     lowest = np.minimum.accumulate(prefix)
@@ -151,8 +183,8 @@ def longest_agreement(same: np.ndarray, least: int) -> tuple[int, int]:
     return (start + first, last - first + 1) if last - first + 1 >= least else (start, length)
 
 
-def blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Block]:
-    """The benchmark's distinct texts in blocks, fetched one partition at a time."""
+def blocks_of(benchmark: DataFrame, item_id: str, text: str, least_item: int) -> Iterator[Block]:
+    """The benchmark's distinct texts of enough words in blocks, fetched one partition at a time."""
     distinct = (
         benchmark.where(F.col(text).isNotNull())
         .groupBy(F.col(text).alias("text"))
@@ -163,12 +195,13 @@ def blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Block]:
     for row in distinct.toLocalIterator():
         data = row["text"].encode()
         n = len(WORD.findall(data))
+        if n < least_item:
+            continue
         if items and words + n > BLOCK_WORDS:
             yield Block(items)
             items, words = [], 0
-        if n:
-            items.append((row["item_id"], data))
-            words += n
+        items.append((row["item_id"], data))
+        words += n
     if items:
         yield Block(items)
 
@@ -185,8 +218,9 @@ def overlaps(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    least_item: int = 1,
 ) -> DataFrame:
-    """(doc_id, item_id, first_word, item_word, n_words, n_same): each item's longest overlap with a text.
+    """(doc_id, item_id, first_word, item_word, n_words, n_same): the overlaps of each item with a text.
 
     Places count words from 0; ``n_same`` of the ``n_words`` words agree.
     """
@@ -200,7 +234,7 @@ def overlaps(
                 rows = []
                 ids = batch.column(0).to_pylist()
                 for i, data in zip(ids, binary(batch.column(1)), strict=True):
-                    for k, place in block.overlaps(word_hashes(data)).items():
+                    for k, *place in block.maximal(word_hashes(data)):
                         rows.append((i, block.ids[k], *place))
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
                 yield pa.RecordBatch.from_arrays(
@@ -210,7 +244,7 @@ def overlaps(
 
         return narrow.mapInArrow(scan, f"doc_id bigint, {OVERLAP}")
 
-    parts = [of_block(sc.broadcast(b)) for b in blocks_of(benchmark, item_id, item_text)]
+    parts = [of_block(sc.broadcast(b)) for b in blocks_of(benchmark, item_id, item_text, max(1, least_item))]
     if not parts:
         return docs.sparkSession.createDataFrame([], f"doc_id bigint, {OVERLAP}")
     return union_all(parts)
@@ -225,7 +259,7 @@ def contaminated(text: Column, blocks: Iterable[Block], docs: DataFrame) -> Colu
         @F.arrow_udf("boolean")
         def test(column: pa.Array) -> pa.Array:
             block = shared.value
-            return pa.array([bool(block.overlaps(word_hashes(t))) for t in binary(column)], pa.bool_())
+            return pa.array([block.any_overlap(word_hashes(t)) for t in binary(column)], pa.bool_())
 
         return test(text)
 
@@ -235,7 +269,13 @@ def contaminated(text: Column, blocks: Iterable[Block], docs: DataFrame) -> Colu
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    least_item: int = 1,
 ) -> DataFrame:
-    """``docs`` without the rows whose text overlaps a benchmark item."""
-    return docs.where(~contaminated(F.col(text), blocks_of(benchmark, item_id, item_text), docs))
+    """``docs`` without the rows whose text overlaps a benchmark item of ``least_item`` words or more."""
+    blocks = blocks_of(benchmark, item_id, item_text, max(1, least_item))
+    return docs.where(~contaminated(F.col(text), blocks, docs))

@@ -35,8 +35,69 @@ def test_short_items_with_a_fifth_substituted_are_found(n):
     for gone in itertools.combinations(range(n), n // 5):
         text = [b"x" if i in gone else w for i, w in enumerate(item)]
         tokens = d.word_hashes(b" ".join([b"before"] * 20 + text + [b"after"] * 20))
-        assert 0 in block.overlaps(tokens)
-    assert not block.overlaps(d.word_hashes(b" ".join(item[:3] + [b"x"] * 20)))
+        assert [k for k, *_ in block.overlaps(tokens)] == [0]
+    assert not block.any_overlap(d.word_hashes(b" ".join(item[:3] + [b"x"] * 20)))
+
+
+@pytest.mark.parametrize("n", range(1, 6))
+def test_items_of_one_to_five_words(n):
+    item = [b"w%d" % i for i in range(n)]
+    block = d.Block([(7, b" ".join(item))])
+    for k in range(n + 1):
+        for gone in itertools.combinations(range(n), k):
+            text = [b"x" if i in gone else w for i, w in enumerate(item)]
+            tokens = d.word_hashes(b" ".join([b"before"] * 3 + text + [b"after"] * 3))
+            assert block.any_overlap(tokens) == ((n - k) / n >= 0.8)
+
+
+def brute_maximal(text, items):
+    """Runs of every item on every diagonal, without seeds, less those within another."""
+    out = set()
+    for k, item in enumerate(items):
+        found = []
+        for diagonal in range(-len(item), len(text)):
+            start, end = max(0, -diagonal), min(len(item), len(text) - diagonal)
+            if end > start:
+                same = np.array([item[i] == text[i + diagonal] for i in range(start, end)])
+                for at, length in d.agreements(same, min(d.MIN_WORDS, len(item))):
+                    found.append((k, start + at + diagonal, start + at, length, int(same[at : at + length].sum())))
+        for f in found:
+            inside = [g for g in found if g[1] <= f[1] and f[1] + f[3] <= g[1] + g[3] and g != f]
+            if not any((g[3], -g[2]) > (f[3], -f[2]) for g in inside):
+                out.add(f)
+    return out
+
+
+def test_query_equals_all_pairs_on_all_diagonals(spark):
+    rng = random.Random(3)
+    words = [f"v{i}" for i in range(300)]
+    sizes = [1, 2, 3, 4, 5, 6, 9, 12, 14, 20, 40, 60]
+    items = [[f"i{k}x{j}" if k < 2 else rng.choice(words) for j in range(n)] for k, n in enumerate(sizes)]
+    docs = []
+    for _ in range(60):
+        body = rng.choices(words, k=rng.randrange(0, 120))
+        for _ in range(rng.randrange(0, 4)):
+            passage = list(rng.choice(items))
+            if len(passage) > 14 and rng.random() < 0.5:
+                passage = passage[: len(passage) // 2]
+            for p in rng.sample(range(len(passage)), len(passage) // 7):
+                passage[p] = "other"
+            at = rng.randrange(len(body) + 1)
+            body[at:at] = passage
+        docs.append(body)
+    docs += [["v1"] * 50, items[10] + ["z"] * 9 + items[10], items[11][:20] + ["z"] * 30 + items[11][35:]]
+    benchmark = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], ITEM)
+    frame = spark.createDataFrame([(k, " ".join(t), "") for k, t in enumerate(docs)], DOC).repartition(4)
+    got = [tuple(r) for r in d.overlaps(frame, benchmark).collect()]
+    want = {(k, *row) for k, t in enumerate(docs) for row in brute_maximal(t, items)}
+    assert set(got) == want and len(got) == len(want)
+    assert {r[2] for r in got if r[:2] == (61, 10)} == {0, 49}
+    assert len([r for r in got if r[:2] == (62, 11)]) == 2
+    dirty = {r[0] for r in want}
+    assert {r["doc_id"] for r in d.drop_contaminated(frame, benchmark).collect()} == set(range(63)) - dirty
+    long = {r[0] for r in want if len(items[r[1]]) >= 6}
+    kept = d.drop_contaminated(frame, benchmark, least_item=6).collect()
+    assert {r["doc_id"] for r in kept} == set(range(63)) - long
 
 
 def test_longest_agreement():
@@ -79,7 +140,7 @@ def planted():
 def test_planted_passages(spark, planted, block_words, monkeypatch):
     items, docs, want = planted
     monkeypatch.setattr(d, "BLOCK_WORDS", block_words)
-    benchmark = spark.createDataFrame(items + [(99, items[0][1]), (98, None), (97, ""), (96, "v1 v2")], ITEM)
+    benchmark = spark.createDataFrame(items + [(99, items[0][1]), (98, None), (97, ""), (96, "!?")], ITEM)
     frame = spark.createDataFrame(docs, DOC).repartition(3)
     got = d.overlaps(frame, benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
@@ -97,7 +158,7 @@ def test_slices_of_a_long_text_meet(spark, planted, monkeypatch):
     monkeypatch.setattr(d, "SLICE", 16)
     block = d.Block([(i, t.encode()) for i, t in items])
     text = " ".join(["filler"] * 37 + [items[3][1]] + ["filler"] * 25)
-    assert set(block.overlaps(d.word_hashes(text.encode()))) == {3}
+    assert {k for k, *_ in block.overlaps(d.word_hashes(text.encode()))} == {3}
 
 
 def test_nulls_repeats_and_empty(spark, planted):
