@@ -15,7 +15,9 @@ all rows is many tasks, and each block returns its best few per query.
 
 Distances are Euclidean, in double precision on the original vectors.  Ties go to the
 smaller id.  Vectors that are null, zero, or hold null or non-finite components, and rows
-with a null id, take no part; neither do vectors of another length than most of the sample.
+with a null id, take no part.  Distances are between vectors of one length: those of another
+length than most of the sample have no classifier, so each such length is one part, cut into
+blocks like any other, and its queries are compared with all of it.
 A query is a row: of repeated rows each is a query and a candidate of the others.  Routing
 goes on until the parts hold more than k vectors, so a query with fewer candidates than k
 gets them all.  An empty table gives an empty result.
@@ -156,6 +158,12 @@ def matrix(column: pa.Array, length: int) -> np.ndarray:
     return column.flatten().to_numpy(False).astype(np.float64).reshape(-1, length)
 
 
+def of_length(column: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths of all rows, matrix of the rows whose length is ``length``)."""
+    lengths = column.value_lengths().to_numpy(False)
+    return lengths, matrix(column.filter(pa.array(lengths == length)), length)
+
+
 class Index:
     """Every usable vector with its part, and the classifier that routes to parts.
 
@@ -180,16 +188,16 @@ class Index:
 
         @F.arrow_udf("int")
         def part_of(column: pa.Array) -> pa.Array:
-            if shared.value is None:
-                return pa.array(np.zeros(len(column), np.int32))
-            p = shared.value.probabilities(matrix(column, length))
-            return pa.array(p.argmax(1).astype(np.int32))
+            lengths, points = of_length(column, length)
+            # Parts below zero hold the vectors of other lengths.
+            out = np.where(lengths == length, 0, -lengths).astype(np.int32)
+            if shared.value is not None and len(points):
+                out[lengths == length] = shared.value.probabilities(points).argmax(1)
+            return pa.array(out)
 
         # Vectors are the index: a row stays a fixed few hundred bytes.
         self.rows = freeze(
-            rows.where(F.size("v") == length)
-            .withColumn("part", part_of("v"))
-            .withColumn("row", F.monotonically_increasing_id())
+            rows.withColumn("part", part_of("v")).withColumn("row", F.monotonically_increasing_id())
         )
         found = self.rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per part
         self.sizes = {r["part"]: r["n"] for r in found}
@@ -225,11 +233,18 @@ class Index:
         @F.arrow_udf("array<int>")
         def routes(column: pa.Array) -> pa.Array:
             router, sizes = shared.value
-            if router is None:
-                return pa.array([[0]] * len(column), pa.list_(pa.int32()))
-            order = np.argsort(-router.probabilities(matrix(column, length)), axis=1, kind="stable")
+            lengths, points = of_length(column, length)
+            if router is None or not len(points):
+                order = np.zeros((len(points), 1), int)
+            else:
+                order = np.argsort(-router.probabilities(points), axis=1, kind="stable")
+            ranked = iter(order.tolist())
             out = []
-            for row in order.tolist():
+            for n in lengths.tolist():
+                if n != length:
+                    out.append([-n])
+                    continue
+                row = next(ranked)
                 taken, seen = [], 0
                 for p in row:
                     # On past the usual number while the parts hold no more than k vectors.

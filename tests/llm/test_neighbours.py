@@ -103,6 +103,18 @@ def test_unusable_vectors_and_repeated_rows(spark):
     )
 
 
+def test_vectors_of_other_lengths_meet_their_like(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(2)
+    rows = clusters(900) + [(2000 + i, rng.normal(0, 1, 5).tolist()) for i in range(150)] + [(3000, [1.0, 2.0])]
+    got = search(spark, rows)
+    by_length = {n: [r for r in rows if len(r[1]) == n] for n in (16, 5, 2)}
+    assert recall([r for r in got if r["query_id"] < 900], brute(by_length[16], 10, 10)) >= 0.9
+    odd = [r for r in got if 2000 <= r["query_id"] < 3000]
+    assert len(odd) == 15 * 10 and recall(odd, brute(by_length[5], 10, 10)) == 1.0
+    assert not [r for r in got if r["query_id"] == 3000 or r["vec_id"] == 3000]
+
+
 def test_query_on_whole_table(spark):
     folder = f"{DATA}/sf0.1"
     rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
