@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paidmedia.operators import (
     attribution,
@@ -17,6 +18,7 @@ from paidmedia.operators import (
     journeys,
     performance,
     profile,
+    reach,
     segments,
     trends,
     windows,
@@ -117,6 +119,22 @@ def _fact_csv(spark: SparkSession, folder: str) -> DataFrame:
     return files.load_csv(spark, path)
 
 
+def _damaged_csv(spark: SparkSession, folder: str) -> files.CheckedCsv:
+    """The fact as lines of a CSV, some of which have a bad value or a field too many."""
+    path = new_path(spark, "damaged-csv")
+    text = {c: F.col(c).cast("string") for c in schema.FACT.fieldNames()}
+    text["spend_gbp"] = F.when(F.col("clicks") % 10 == 0, "n/a").otherwise(text["spend_gbp"])
+    text["date"] = F.when(F.col("clicks") % 15 == 0, F.concat("date", F.lit(" noon?"))).otherwise(text["date"])
+    text["campaign_type"] = F.when(
+        F.col("clicks") % 7 == 0, F.concat("campaign_type", F.lit(",x"))
+    ).otherwise(F.col("campaign_type"))
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in text.values()])
+    # Whole lines under the whole header, so that nothing is quoted.
+    lines = fact_table(spark, folder).select(line.alias(",".join(text)))
+    lines.write.option("header", True).option("sep", "\x01").csv(path)
+    return files.load_csv_checked(spark, path)
+
+
 def _enriched_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "enriched-csv")
     files.write_csv(enrich.enrich(fact_table(spark, folder)), path)
@@ -204,6 +222,7 @@ def queries() -> dict[str, Query]:
         "customer_ltv_90d": _customer_ltv,
         "cohort_orders_90d": on_orders(windows.cohort_orders_90d),
         "crossover_orders": on_orders(windows.crossover_orders),
+        "reach_by_level": on_orders(reach.reach_by_level),
         # Creatives
         "creative_fatigue_curve": on_fact(creative.creative_fatigue_curve),
         "creative_fatigue_curve_detailed": on_fact(creative.creative_fatigue_curve, details=True),
@@ -264,6 +283,8 @@ def queries() -> dict[str, Query]:
         # Rows, sources and sinks
         "load_fact": fact_table,
         "load_fact_csv": _fact_csv,
+        "load_csv_good_rows": lambda spark, folder: _damaged_csv(spark, folder).good,
+        "load_csv_bad_rows": lambda spark, folder: _damaged_csv(spark, folder).bad.drop("file"),
         "apply_filters": _filtered,
         "add_time_columns": on_fact(enrich.add_time_columns),
         "add_row_metrics": on_fact(enrich.add_row_metrics),
