@@ -23,7 +23,7 @@ from paidmedia.operators import (
     trends,
     windows,
 )
-from paidmedia.sources import dimensions, files, schema
+from paidmedia.sources import dimensions, files, increment, layout, schema
 from paidmedia.sources.fact import fact_table, raw
 from paidmedia.sources.store import derived, new_path
 from paidmedia.sources.touchpoints import numbered_touchpoints, touchpoints
@@ -119,6 +119,31 @@ def _fact_csv(spark: SparkSession, folder: str) -> DataFrame:
     return files.load_csv(spark, path)
 
 
+def _fact_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact kept up to date while a tenth of the orders, and a third of the lines, come late."""
+    inputs, kept = new_path(spark, "arriving"), new_path(spark, "kept-fact")
+    orders, lines = raw(spark, folder, "orders"), raw(spark, folder, "lineitem")
+    late_order = F.pmod(F.xxhash64("o_orderkey"), F.lit(10)) == 0
+    late_line = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == 0
+    raw(spark, folder, "part").write.parquet(f"{inputs}/part.parquet")
+    for late in (False, True):
+        orders.where(late_order == late).write.mode("append").parquet(f"{inputs}/orders.parquet")
+        lines.where(late_line == late).write.mode("append").parquet(f"{inputs}/lineitem.parquet")
+        increment.update_fact(spark, inputs, kept)
+    return increment.kept_fact(spark, kept)
+
+
+def _fact_by_z(spark: SparkSession, folder: str) -> DataFrame:
+    """One channel's rows of the fact in Z-order."""
+    table = derived(
+        spark,
+        f"z-ordered:{folder}",
+        [f"{folder}/{t}.parquet" for t in ("orders", "lineitem", "part")],
+        lambda: layout.z_ordered(fact_table(spark, folder)),
+    )
+    return table.where(F.col("channel") == "TikTok")
+
+
 def _damaged_csv(spark: SparkSession, folder: str) -> files.CheckedCsv:
     """The fact as lines of a CSV, some of which have a bad value or a field too many."""
     path = new_path(spark, "damaged-csv")
@@ -283,6 +308,8 @@ def queries() -> dict[str, Query]:
         # Rows, sources and sinks
         "load_fact": fact_table,
         "load_fact_csv": _fact_csv,
+        "load_fact_kept": _fact_kept,
+        "load_fact_z_ordered": _fact_by_z,
         "load_csv_good_rows": lambda spark, folder: _damaged_csv(spark, folder).good,
         "load_csv_bad_rows": lambda spark, folder: _damaged_csv(spark, folder).bad.drop("file"),
         "apply_filters": _filtered,

@@ -80,43 +80,68 @@ def first_touches(orders: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    creatives = part.select(
+SUMS = ("units", "price_e2", "discount_e4")
+
+
+def sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in SUMS]
+
+
+def creatives(part: DataFrame) -> DataFrame:
+    """Creative of each part."""
+    return part.select(
         F.col("p_partkey").alias("l_partkey"),
         choose(F.col("p_type"), CREATIVE_OF_TYPE, F.lit(OTHER_CREATIVE)).alias("creative_type"),
     )
+
+
+def line_values(lineitem: DataFrame) -> DataFrame:
+    """Order, part, campaign and the three amounts of each line."""
     # Prices are whole pennies and discounts whole hundredths: integer arithmetic per
     # row, and DECIMAL sums that no hot group can overflow.
     pennies = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     hundredths = F.rint(F.col("l_discount") * 100).cast("bigint")
-    lines = lineitem.select(
+    return lineitem.select(
         "l_orderkey",
         "l_partkey",
         choose(F.col("l_returnflag"), CAMPAIGN_OF_FLAG).alias("campaign_type"),
         F.col("l_quantity").cast("bigint").alias("units"),
         pennies.cast("decimal(14,0)").alias("price_e2"),
         (pennies * hundredths).cast("decimal(18,0)").alias("discount_e4"),
-    ).join(creatives, "l_partkey")
+    )
 
-    sums = [F.sum(c).alias(c) for c in ("units", "price_e2", "discount_e4")]
-    per_order = lines.groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums)
-    came, first = order_touches(orders).alias("t"), first_touches(orders).alias("f")
-    touches = came.join(
-        first,
+
+def with_returning(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """``rows`` of a customer, channel and date, and whether the customer came before."""
+    return rows.alias("t").join(
+        first.alias("f"),
         (F.col("t.o_custkey") == F.col("f.o_custkey"))
         & F.col("t.channel").eqNullSafe(F.col("f.channel")),
         "left",
     ).select("t.*", (F.col("date") > F.col("first_date")).alias("returning"))
-    per_customer = (
-        per_order.join(touches, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("o_custkey", "returning", *schema.GRAIN)
-        .agg(F.count(F.lit(1)).alias("orders"), *sums)
+
+
+def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    lines = line_values(lineitem).join(creatives(part), "l_partkey")
+    per_order = lines.groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums())
+    touches = with_returning(order_touches(orders), first_touches(orders))
+    return fact_of(per_order.join(touches, F.col("l_orderkey") == F.col("o_orderkey")))
+
+
+def fact_of(cells: DataFrame, *extra: str) -> DataFrame:
+    """The fact of order cells: one row per order, campaign and creative, with its sums, the
+    order's customer, date and channel, and whether the customer is returning.
+
+    ``extra`` names columns that the grain decides; they follow the fact's own.
+    """
+    per_customer = cells.groupBy("o_custkey", "returning", *schema.GRAIN, *extra).agg(
+        F.count(F.lit(1)).alias("orders"), *sums()
     )
-    grain = per_customer.groupBy(*schema.GRAIN).agg(
+    grain = per_customer.groupBy(*schema.GRAIN, *extra).agg(
         F.sum("orders").alias("orders"),
         F.count_if(~F.col("returning")).alias("new_customers"),
         F.count_if(F.col("returning")).alias("returning_customers"),
-        *sums,
+        *sums(),
     )
 
     years = (F.year("date") - BASE_YEAR).cast("decimal(4,0)")
@@ -148,6 +173,7 @@ def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataF
         "new_customers",
         "returning_customers",
         F.round(order_value.cast("decimal(38,10)"), 2).cast(schema.MONEY).alias("avg_order_value_gbp"),
+        *extra,
     )
 
 
