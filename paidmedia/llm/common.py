@@ -20,16 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to ``spark.checkpoint.dir``; unset, to the warehouse of a local master."""
+    """Checkpoints go to ``spark.checkpoint.dir``; unset, to the warehouse of a local master.
+
+    The folder below it, which Spark makes for this application, goes when the application ends.
+    """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    sc.setCheckpointDir(named)
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            named = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+        sc.setCheckpointDir(named)
+    own = spark._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+    # A set of paths: naming one again changes nothing.
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(own)
 
 
 def freeze(df: DataFrame) -> DataFrame:
