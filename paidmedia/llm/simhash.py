@@ -212,17 +212,28 @@ def keep_one(
         )
     )
     classes = fingerprint_classes(prints, "bits", "doc_id", max_bits)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    chosen = (
-        prints.join(classes, "bits")
+    # Equal rows are one before they meet their class, however many there are.
+    apart = prints.groupBy("doc_id", "text_hash", "bits").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n"))
+    kept_id, kept_hash, kept_n = (free_name(docs, c) for c in ("kept_id", "kept_hash", "kept_n"))
+    chosen = freeze(
+        apart.join(classes, "bits")
         .groupBy("group")
         .agg(first.alias("first"))
-        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+        .select(
+            F.col("first.doc_id").alias(kept_id),
+            F.col("first.text_hash").alias(kept_hash),
+            F.col("first.n").alias(kept_n),
+        )
     )
     rows = docs.withColumn(mark, key)
-    kept = rows.join(
-        chosen,
-        rows[doc_id].eqNullSafe(chosen["kept_id"]) & (rows[mark] == chosen["kept_hash"]),
-        "left_semi",
-    )
-    return kept.dropDuplicates([doc_id, mark]).drop(mark)
+
+    def of(few: DataFrame) -> DataFrame:
+        met = rows[doc_id].eqNullSafe(few[kept_id]) & (rows[mark] == few[kept_hash])
+        return rows.join(few, met, "left_semi")
+
+    # Texts are shuffled once, to meet the rows chosen; only those that stand several times
+    # with one id are shuffled again.
+    single = of(chosen.where(F.col(kept_n) == 1))
+    several = of(chosen.where(F.col(kept_n) > 1)).dropDuplicates([doc_id, mark])
+    return single.unionByName(several).drop(mark)
