@@ -5,22 +5,26 @@ Grain: date x channel x campaign_type x creative_type.
 Shape of the job at scale:
 
 * line items meet parts on the part key (adaptive execution splits a hot part);
-* they are summed per (order, campaign, creative) before meeting orders, so an
-  order with any number of lines enters the join as at most one row per
-  campaign and creative;
+* they are then shuffled once, by order, as keys, two codes and three amounts; one sort of
+  a partition marks a line of each (order, campaign, creative) and meets the orders, and
+  no table of order cells is aggregated or shuffled again;
 * orders learn whether their customer is returning before that join, while rows are
   few and narrow; first touches are unique, so a hot customer's orders can be split;
+* a customer's orders of a channel that all fall on days of their own need no distinct
+  count: each is one customer of its cells.  Only the others keep their customer in the
+  sum over the grain, so the rest shrinks to the grain before it is shuffled;
 * an order without a customer, or of an unlisted priority, keeps its revenue: it counts
   as neither a new nor a returning customer, or under channel NULL;
-* the joined rows are summed per (customer, date, channel, campaign, creative), and
-  distinct orders and customers are plain counts on the way: no COUNT(DISTINCT), no
+* distinct orders and customers are plain counts on the way: no COUNT(DISTINCT), no
   Expand;
 * factors that depend only on the grain are applied after the last sum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paidmedia.sources import schema
@@ -70,16 +74,26 @@ def order_touches(orders: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def first_touches(orders: DataFrame) -> DataFrame:
-    """First date of each known customer on each channel."""
+def first_touches(orders: DataFrame, *extra: Column) -> DataFrame:
+    """First date of each known customer on each channel, and ``extra`` aggregates."""
     return (
         order_touches(orders)
         .filter(F.col("o_custkey").isNotNull())
         .groupBy("o_custkey", "channel")
-        .agg(F.min("date").alias("first_date"))
+        .agg(F.min("date").alias("first_date"), *extra)
     )
 
 
+def may_share_a_day() -> Column:
+    """Aggregate of a customer's orders: whether two of them may be of one date.
+
+    Each date sets one of 64 bits.  As many bits as orders means as many dates; fewer bits
+    may also be dates that are 64 days apart, which costs work and changes no result.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.unix_date("date"), F.lit(64)))
+    return F.bit_count(F.bit_or(bit)) < F.count("date")
+
+
 SUMS = ("units", "price_e2", "discount_e4")
 
 
@@ -95,6 +109,15 @@ def creatives(part: DataFrame) -> DataFrame:
     )
 
 
+def code_of(value: Column, values: Sequence[str]) -> Column:
+    """Place of a text in a list: shuffled and sorted instead of the text."""
+    return choose(value, {v: F.lit(i).cast("tinyint") for i, v in enumerate(values)})
+
+
+def text_of(code: Column, values: Sequence[str]) -> Column:
+    return choose(code, dict(enumerate(values)))
+
+
 def line_values(lineitem: DataFrame) -> DataFrame:
     """Order, part, campaign and the three amounts of each line."""
     # Prices are whole pennies and discounts whole hundredths: integer arithmetic per
@@ -111,36 +134,66 @@ def line_values(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def with_returning(rows: DataFrame, first: DataFrame) -> DataFrame:
-    """``rows`` of a customer, channel and date, and whether the customer came before."""
+def with_returning(rows: DataFrame, first: DataFrame, *extra: str) -> DataFrame:
+    """``rows`` of a customer, channel and date, whether the customer came before, and
+    ``extra`` columns of the customer's first touch."""
     return rows.alias("t").join(
         first.alias("f"),
         (F.col("t.o_custkey") == F.col("f.o_custkey"))
         & F.col("t.channel").eqNullSafe(F.col("f.channel")),
         "left",
-    ).select("t.*", (F.col("date") > F.col("first_date")).alias("returning"))
+    ).select(
+        "t.*", (F.col("date") > F.col("first_date")).alias("returning"), *[f"f.{c}" for c in extra]
+    )
 
 
 def build_fact(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    lines = line_values(lineitem).join(creatives(part), "l_partkey")
-    per_order = lines.groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums())
-    touches = with_returning(order_touches(orders), first_touches(orders))
-    return fact_of(per_order.join(touches, F.col("l_orderkey") == F.col("o_orderkey")))
+    # A line of a null order meets none, and would crowd one partition.
+    lines = line_values(lineitem.where(F.col("l_orderkey").isNotNull())).select(
+        "l_orderkey",
+        "l_partkey",
+        code_of(F.col("campaign_type"), schema.CAMPAIGN_TYPES).alias("campaign"),
+        *SUMS,
+    )
+    parts = creatives(part).select(
+        "l_partkey", code_of(F.col("creative_type"), schema.CREATIVE_TYPES).alias("creative")
+    )
+    coded = lines.join(parts, "l_partkey").drop("l_partkey").repartition("l_orderkey")
+    # Partitions and order suit the join that follows: it neither shuffles nor sorts again.
+    of_cell = Window.partitionBy("l_orderkey", "campaign", "creative").orderBy("l_orderkey")
+    marked = coded.withColumn("cells", (F.row_number().over(of_cell) == 1).cast("bigint"))
+    touches = with_returning(
+        order_touches(orders.where(F.col("o_orderkey").isNotNull())),
+        first_touches(orders, may_share_a_day().alias("shares")),
+        "shares",
+    ).select("o_orderkey", "date", "channel", "returning", F.when(F.col("shares"), F.col("o_custkey")).alias("o_custkey"))
+    met = marked.join(touches, F.col("l_orderkey") == F.col("o_orderkey"))
+    return fact_of(
+        met.withColumns(
+            {
+                "campaign_type": text_of(F.col("campaign"), schema.CAMPAIGN_TYPES),
+                "creative_type": text_of(F.col("creative"), schema.CREATIVE_TYPES),
+            }
+        )
+    )
 
 
-def fact_of(cells: DataFrame, *extra: str) -> DataFrame:
-    """The fact of order cells: one row per order, campaign and creative, with its sums, the
-    order's customer, date and channel, and whether the customer is returning.
+def fact_of(rows: DataFrame, *extra: str) -> DataFrame:
+    """The fact of lines, or of order cells, that know their order's customer, date and channel
+    and whether the customer is returning.
 
+    ``cells`` is 1 on one row of each order, campaign and creative and 0 on its others.  A null
+    customer who is new or returning stands for one whose day on the channel has no other order.
     ``extra`` names columns that the grain decides; they follow the fact's own.
     """
-    per_customer = cells.groupBy("o_custkey", "returning", *schema.GRAIN, *extra).agg(
-        F.count(F.lit(1)).alias("orders"), *sums()
+    per_customer = rows.groupBy("o_custkey", "returning", *schema.GRAIN, *extra).agg(
+        F.sum("cells").alias("orders"), *sums()
     )
+    customers = F.when(F.col("o_custkey").isNull(), F.col("orders")).otherwise(1)
     grain = per_customer.groupBy(*schema.GRAIN, *extra).agg(
         F.sum("orders").alias("orders"),
-        F.count_if(~F.col("returning")).alias("new_customers"),
-        F.count_if(F.col("returning")).alias("returning_customers"),
+        F.sum(F.when(~F.col("returning"), customers).otherwise(0)).alias("new_customers"),
+        F.sum(F.when(F.col("returning"), customers).otherwise(0)).alias("returning_customers"),
         *sums(),
     )
 

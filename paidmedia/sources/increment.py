@@ -247,7 +247,7 @@ def update_fact(spark: SparkSession, folder: str, path: str, period: str = MONTH
     if older:
         # An order that got lines in several updates is one cell again.
         cells = cells.groupBy(*keys).agg(*sums())
-    fact_of(with_returning(cells, first), "period").hint("rebalance", "period").sortWithinPartitions(
+    fact_of(with_returning(cells.withColumn("cells", F.lit(1)), first), "period").hint("rebalance", "period").sortWithinPartitions(
         "period", *schema.GRAIN
     ).write.partitionBy("period").parquet(f"{path}/fact/generation={generation}")
 

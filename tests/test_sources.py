@@ -64,6 +64,66 @@ def test_fact_against_a_plain_replay_with_hot_keys(spark, rows):
         assert abs(r["revenue_gbp"] - cell["revenue"]) < Decimal("0.01")
 
 
+def fact_inputs(spark, orders, lines, parts):
+    return (
+        spark.createDataFrame(
+            orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string"
+        ),
+        spark.createDataFrame(
+            lines,
+            "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_returnflag string",
+        ),
+        spark.createDataFrame(parts, "p_partkey long, p_type string"),
+    )
+
+
+def test_fact_counts_customers_with_several_orders_a_day_once(spark):
+    """Orders of one customer on one day, 64 days apart, twice in the table, without key or customer."""
+    day = datetime.datetime(1996, 5, 1)
+    dates = [day + datetime.timedelta(days=d) for d in (0, 1, 64, 65, 128)] + [None]
+    orders = [
+        (k if k % 17 else None, k % 5 or None, dates[k % 6], ["2-HIGH", "5-LOW", None][k // 30 % 3])
+        for k in range(90)
+    ]
+    orders += orders[3:9] + [(4, 1, dates[1], "2-HIGH")]
+    lines = [(i % 83 or None, i % 4 or None, 2.0, 10.5, 0.04, "ANRX"[i // 83 % 4]) for i in range(500)]
+    parts = [(1, "PROMO"), (2, "STANDARD"), (3, None), (3, None), (None, "PROMO")]
+    frames = fact_inputs(spark, orders, lines, parts)
+
+    first, cells = {}, defaultdict(lambda: [0, set(), set()])
+    for _, customer, date, priority in orders:
+        if customer is not None and date is not None:
+            key = customer, priority
+            first[key] = min(first.get(key, date), date)
+    met = {
+        (n, order[0], order[1:], fact.CAMPAIGN_OF_FLAG.get(line[5]), fact.CREATIVE_OF_TYPE.get(kind, fact.OTHER_CREATIVE))
+        for n, order in enumerate(orders) for line in lines for part, kind in parts
+        if None not in (order[0], part) and line[:2] == (order[0], part)
+    }
+    for _, _, (customer, date, priority), campaign, creative in met:
+        cell = cells[date and date.date(), fact.CHANNEL_OF_PRIORITY.get(priority), campaign, creative]
+        cell[0] += 1
+        if customer is not None and date is not None:
+            cell[2 if date > first[customer, priority] else 1].add(customer)
+    got = {
+        tuple(r[c] for c in schema.GRAIN): (r["orders"], r["new_customers"], r["returning_customers"])
+        for r in fact.build_fact(*frames).collect()
+    }
+    assert got == {k: (n, len(new), len(old)) for k, (n, new, old) in cells.items()}
+
+
+def test_lines_are_shuffled_by_order_once_and_shrink_to_the_grain(spark):
+    """Before, order cells were shuffled by cell, by order and by customer."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [fact.raw(spark, f"{DATA}/sf0.001", t) for t in ("orders", "lineitem", "part")]
+        plan = plan_of(fact.build_fact(*frames))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Arguments: hashpartitioning(l_orderkey") == 1
+
+
 @pytest.mark.parametrize(
     "sf, expected",
     [
