@@ -196,7 +196,11 @@ def fact_of(rows: DataFrame, *extra: str) -> DataFrame:
         F.sum(F.when(F.col("returning"), customers).otherwise(0)).alias("returning_customers"),
         *sums(),
     )
+    return with_measures(grain, *extra)
 
+
+def with_measures(grain: DataFrame, *extra: str) -> DataFrame:
+    """The fact of orders, new and returning customers and the three amounts per grain."""
     years = (F.year("date") - BASE_YEAR).cast("decimal(4,0)")
     fixed = lambda n: F.lit(n).cast("decimal(4,0)")
     channel_rate = choose(

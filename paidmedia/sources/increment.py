@@ -35,13 +35,14 @@ from pyspark.sql import functions as F
 from paidmedia.functions.bloom import semi_join
 from paidmedia.sources import schema
 from paidmedia.sources.fact import (
-    SUMS,
+    code_of,
     creatives,
-    fact_of,
     first_touches,
     line_values,
     order_touches,
     sums,
+    text_of,
+    with_measures,
     with_returning,
 )
 from paidmedia.sources.store import _hadoop, materialise
@@ -140,19 +141,30 @@ _CELLS = (
 _FIRST = "o_custkey long, channel string, first_date date, generation string"
 
 
+#: Columns that are shuffled as codes.
+_LISTED = {"campaign_type": schema.CAMPAIGN_TYPES, "creative_type": schema.CREATIVE_TYPES}
+
+
+def _codes(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: code_of(F.col(c), _LISTED[c]) for c in rows.columns if c in _LISTED})
+
+
 def _cells(lines: DataFrame, waiting: DataFrame | None, parts: DataFrame, orders: DataFrame, unit: str, full: bool):
     """Cells of the new lines and of those that waited, each under its period or ``pending``.
 
-    A line of a null order or part never finds one and is no cell.
+    A line of a null order or part never finds one and is no cell.  Campaign and creative are
+    codes, which ``_texts`` turns back.
     """
     new = line_values(lines).where(F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull())
     if waiting is not None:
         new = new.unionByName(waiting.where(F.col("creative_type").isNull()).select(*new.columns))
-    joined = new.join(creatives(parts), "l_partkey", "left")
+    joined = _codes(new).join(_codes(creatives(parts)), "l_partkey", "left")
     known = joined.where(F.col("creative_type").isNotNull()).drop("l_partkey")
     if waiting is not None:
-        known = known.unionByName(waiting.where(F.col("creative_type").isNotNull()).select(*known.columns))
-    per_order = known.groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums())
+        tried = _codes(waiting.where(F.col("creative_type").isNotNull()))
+        known = known.unionByName(tried.select(*known.columns))
+    # One shuffle by order serves the sums and the join with orders.
+    per_order = known.repartition("l_orderkey").groupBy("l_orderkey", "campaign_type", "creative_type").agg(*sums())
     touches = order_touches(orders)
     if not full:
         # Few of all orders get new lines: the others go before the shuffle.
@@ -169,8 +181,79 @@ def _cells(lines: DataFrame, waiting: DataFrame | None, parts: DataFrame, orders
     rows = met.withColumn("period", placed).unionByName(
         no_part.withColumn("period", F.lit(PENDING)), allowMissingColumns=True
     )
+    return rows
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    """Cells as they are kept."""
     kinds = dict(field.split() for field in _CELLS.split(", "))
-    return rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in kinds if c != "generation"])
+    texts = rows.withColumns({c: text_of(F.col(c), values) for c, values in _LISTED.items()})
+    return texts.select(*[F.col(c).cast(kinds[c]).alias(c) for c in kinds if c != "generation"])
+
+
+#: Bits of a mask of campaigns and creatives: a creative's place within that of its campaign,
+#: and a last campaign for null.
+_WIDTH = len(schema.CREATIVE_TYPES)
+_BITS = _WIDTH * (len(schema.CAMPAIGN_TYPES) + 1)
+
+
+def _masks(rows: DataFrame, *keys: str) -> DataFrame:
+    """The campaigns and creatives of each key, as a mask."""
+    return rows.groupBy(*keys).agg(F.bit_or("mask").alias("mask"))
+
+
+def _unmasked(rows: DataFrame, *extra: str) -> DataFrame:
+    """A row for each campaign and creative of a mask."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(_BITS - 1)), lambda k: F.getbit(F.col("mask"), k) == 1)
+    each = rows.select("period", "date", "channel", *extra, F.explode(places).alias("place"))
+    campaign, creative = F.floor(F.col("place") / _WIDTH), F.col("place") % _WIDTH
+    return each.select(
+        "period",
+        "date",
+        "channel",
+        *extra,
+        text_of(campaign, schema.CAMPAIGN_TYPES).alias("campaign_type"),
+        text_of(creative, schema.CREATIVE_TYPES).alias("creative_type"),
+    )
+
+
+def _fact(cells: DataFrame, first: DataFrame, repeated: bool) -> DataFrame:
+    """The fact of kept cells and its period; ``repeated`` where an order's cell may lie in
+    several generations, which count once.
+
+    Amounts need neither order nor customer and shrink to the grain where they are read.  What
+    is distinct travels as one mask of campaigns and creatives: per order where cells repeat,
+    and per customer, channel and date, before it meets the first touches.
+    """
+    grain = ["period", *schema.GRAIN]
+    amounts = cells.groupBy(*grain).agg(F.count(F.lit(1)).alias("orders"), *sums())
+    coded = _codes(cells)
+    place = F.coalesce(F.col("campaign_type"), F.lit(len(schema.CAMPAIGN_TYPES))) * _WIDTH + F.col("creative_type")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
+    masked = coded.select("o_orderkey", "o_custkey", "date", "channel", "period", bit.alias("mask"))
+    found = [amounts]
+    if repeated:
+        masked = _masks(masked, "o_orderkey", "o_custkey", "date", "channel", "period")
+        found = [
+            amounts.drop("orders"),
+            _unmasked(masked).groupBy(*grain).agg(F.count(F.lit(1)).alias("orders")),
+        ]
+    known = masked.where(F.col("o_custkey").isNotNull() & F.col("date").isNotNull())
+    days = _masks(known, "o_custkey", "date", "channel", "period")
+    found.append(
+        _unmasked(with_returning(days, first), "returning")
+        .groupBy(*grain)
+        .agg(
+            F.count_if(~F.col("returning")).alias("new_customers"),
+            F.count_if(F.col("returning")).alias("returning_customers"),
+        )
+    )
+    counts = ["orders", "new_customers", "returning_customers"]
+    rows = found[0]
+    for other in found[1:]:
+        rows = rows.unionByName(other, allowMissingColumns=True)
+    whole = rows.groupBy(*grain).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], *sums())
+    return with_measures(whole, "period")
 
 
 def _repeats(whole: DataFrame, added: DataFrame, key: str) -> bool:
@@ -215,9 +298,10 @@ def update_fact(spark: SparkSession, folder: str, path: str, period: str = MONTH
     waiting = None
     if older:
         waiting = _kept(spark, path, "cells", _CELLS, older[-1:]).where(F.col("period") == PENDING)
-    _cells(added["lineitem"], waiting, whole["part"], whole["orders"], period, full).hint(
-        "rebalance", "period"
-    ).write.partitionBy("period").parquet(f"{path}/cells/generation={generation}")
+    cells = _cells(added["lineitem"], waiting, whole["part"], whole["orders"], period, full)
+    _texts(cells.hint("rebalance", "period")).write.partitionBy("period").parquet(
+        f"{path}/cells/generation={generation}"
+    )
     new_first = first_touches(added["orders"])
     new_first.write.parquet(f"{path}/first/generation={generation}")
     found.write.parquet(f"{path}/inputs/generation={generation}")
@@ -243,11 +327,8 @@ def update_fact(spark: SparkSession, folder: str, path: str, period: str = MONTH
         .agg(F.min("first_date").alias("first_date"))
     )
     cells = _kept(spark, path, "cells", _CELLS, generations).where(F.col("period").isin(names))
-    keys = [c for c in cells.columns if c not in (*SUMS, "l_orderkey", "l_partkey")]
-    if older:
-        # An order that got lines in several updates is one cell again.
-        cells = cells.groupBy(*keys).agg(*sums())
-    fact_of(with_returning(cells.withColumn("cells", F.lit(1)), first), "period").hint("rebalance", "period").sortWithinPartitions(
+    # An order that got lines in several updates is one cell again.
+    _fact(cells, first, bool(older)).hint("rebalance", "period").sortWithinPartitions(
         "period", *schema.GRAIN
     ).write.partitionBy("period").parquet(f"{path}/fact/generation={generation}")
 

@@ -4,7 +4,7 @@ import datetime
 import shutil
 
 import pytest
-from conftest import DATA
+from conftest import DATA, plan_of
 
 from paidmedia.sources import fact, increment, schema
 
@@ -156,3 +156,27 @@ def test_a_hot_customer_and_whole_tables(spark, tmp_path):
         ).parquet(f"{kept.folder}/lineitem.parquet")
         assert kept.update().full == (third == 0)
         kept.check()
+
+
+def test_orders_of_a_day_whose_cells_come_in_several_updates(kept):
+    """Two orders of a customer on one day, one without date, lines without campaign, one cell in three parts."""
+    kept.add(
+        [order(20, 30, 6, 1), order(21, 30, 6, 1), order(22, 30, None, 1), order(23, None, 6, 1), order(24, 30, 8, 4)],
+        [line(20), line(21), line(21, part=2), line(22), line(23), line(20, flag="X"), line(24)],
+    )
+    assert kept.update().periods == ["1996-06", "1996-08", "undated"]
+    kept.check()
+    for _ in range(2):
+        kept.add(lines=[line(20), line(21), line(20, flag="X"), line(22), line(23), line(24, flag="N")])
+        kept.update()
+        kept.check()
+
+
+def test_amounts_meet_neither_customers_nor_orders_in_a_shuffle(spark):
+    """Before, every cell was shuffled with its amounts by cell, by customer and by both."""
+    cells = spark.createDataFrame([], increment._CELLS.replace(", generation string", ""))
+    first = spark.createDataFrame([], increment._FIRST)
+    plan = plan_of(increment._fact(cells, first, True))
+    shuffled = [p for p in plan.split("\n\n") if ") Exchange" in p.split("\n")[0]]
+    assert len(shuffled) >= 5
+    assert not [p for p in shuffled if "price_e2" in p and ("o_custkey" in p or "o_orderkey" in p)]
