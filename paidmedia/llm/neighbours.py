@@ -290,7 +290,8 @@ class Index:
                 d = points - np.asarray(v)
                 d = np.sqrt(np.einsum("ij,ij->i", d, d))
                 d[rows == q_row] = np.inf
-                best = np.flatnonzero(d <= np.partition(d, min(k, len(d) - 1))[min(k, len(d)) - 1])
+                last = min(k, len(d)) - 1
+                best = np.flatnonzero(d <= np.partition(d, last)[last])
                 best = best[np.lexsort((rows[best], ids[best], d[best]))][:k]
                 best = best[rows[best] != q_row]
                 out.append((np.full(len(best), q_id), np.full(len(best), q_row), ids[best], rows[best], d[best]))
