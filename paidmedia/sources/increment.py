@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paidmedia.functions.bloom import semi_join
+from paidmedia.functions.joins import shuffled
 from paidmedia.sources import schema
 from paidmedia.sources.fact import (
     code_of,
@@ -158,7 +159,7 @@ def _cells(lines: DataFrame, waiting: DataFrame | None, parts: DataFrame, orders
     new = line_values(lines).where(F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull())
     if waiting is not None:
         new = new.unionByName(waiting.where(F.col("creative_type").isNull()).select(*new.columns))
-    joined = _codes(new).join(_codes(creatives(parts)), "l_partkey", "left")
+    joined = _codes(new).join(shuffled(_codes(creatives(parts))), "l_partkey", "left")
     known = joined.where(F.col("creative_type").isNotNull()).drop("l_partkey")
     if waiting is not None:
         tried = _codes(waiting.where(F.col("creative_type").isNotNull()))
@@ -171,7 +172,7 @@ def _cells(lines: DataFrame, waiting: DataFrame | None, parts: DataFrame, orders
         per_order = materialise(per_order, "order-cells")
         wanted = per_order.select(F.col("l_orderkey").alias("o_orderkey"))
         touches = semi_join(touches, wanted, ["o_orderkey"])
-    met = per_order.join(touches, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    met = per_order.join(shuffled(touches), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     no_part = (
         joined.where(F.col("creative_type").isNull())
         .groupBy("l_orderkey", "l_partkey", "campaign_type")
@@ -241,7 +242,7 @@ def _fact(cells: DataFrame, first: DataFrame, repeated: bool) -> DataFrame:
     known = masked.where(F.col("o_custkey").isNotNull() & F.col("date").isNotNull())
     days = _masks(known, "o_custkey", "date", "channel", "period")
     found.append(
-        _unmasked(with_returning(days, first), "returning")
+        _unmasked(with_returning(days, shuffled(first)), "returning")
         .groupBy(*grain)
         .agg(
             F.count_if(~F.col("returning")).alias("new_customers"),

@@ -7,6 +7,7 @@ import pytest
 from conftest import DATA, plan_of
 
 from paidmedia.sources import fact, increment, schema
+from paidmedia.sources.store import materialise
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string"
 LINES = (
@@ -180,3 +181,19 @@ def test_amounts_meet_neither_customers_nor_orders_in_a_shuffle(spark):
     shuffled = [p for p in plan.split("\n\n") if ") Exchange" in p.split("\n")[0]]
     assert len(shuffled) >= 5
     assert not [p for p in shuffled if "price_e2" in p and ("o_custkey" in p or "o_orderkey" in p)]
+
+
+def test_only_filters_are_broadcast(kept):
+    """Before, parts, orders, keys and first touches went through the driver where their files were small."""
+    orders, lines, parts = (fact.raw(kept.spark, kept.folder, t) for t in ("orders", "lineitem", "part"))
+
+    def broadcasts(df):
+        return [p for p in plan_of(df).split("\n\n") if ") BroadcastExchange" in p.split("\n")[0]]
+
+    assert not broadcasts(increment._cells(lines, None, parts, orders, increment.MONTHS, True))
+    (filtering,) = broadcasts(increment._cells(lines, None, parts, orders, increment.MONTHS, False))
+    assert "_words" in filtering
+    cells = increment._cells(lines, None, parts, orders, increment.MONTHS, True)
+    cells = materialise(increment._texts(cells), "cells")
+    first = materialise(fact.first_touches(orders), "first")
+    assert not broadcasts(increment._fact(cells, first, True))

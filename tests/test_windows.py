@@ -100,6 +100,19 @@ def test_a_full_filter_only_lets_more_through(spark):
     assert bloom.semi_join(rows, build.limit(0), ["k"]).count() == 0
 
 
+def test_a_filter_travels_in_blocks_of_words(spark):
+    """Before, each word was a row, so the driver built a million rows for 8 MB of words."""
+    rows = spark.range(40_000).select(F.col("id").alias("k"))
+    build = rows.where("k % 4 = 0")
+    words = 4 * bloom.BLOCK
+    blocks = bloom.bloom_filter(build, ["k"], words)
+    assert [(r["_block"], len(r["_words"])) for r in blocks.orderBy("_block").collect()] == [(b, bloom.BLOCK) for b in range(4)]
+    kept = {r["k"] for r in bloom.may_match(rows, blocks, ["k"], words).collect()}
+    assert set(range(0, 40_000, 4)) <= kept and len(kept) < 10_000 + 0.15 * 30_000
+    plan = plan_of(bloom.semi_join(rows, build, ["k"]))
+    assert len([p for p in plan.split("\n\n") if ") BroadcastExchange" in p.split("\n")[0]]) == 1
+
+
 def test_cohorts_keep_those_without_orders(spark, rows):
     day = datetime.datetime
     orders = spark.createDataFrame(
